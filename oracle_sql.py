@@ -15,8 +15,11 @@ def title(s: str) -> str:
 
 
 def sas_date(x: str) -> str:
+    day = (f"(trunc({x}) + floor(round_even(({x} - trunc({x})) * 86400000000.0, 0) "
+           f"/ 86400000000.0))")
     return (f"CASE WHEN {x} >= -715509 AND {x} < 2936550 AND NOT isnan({x}) AND {x} <> 0 "
-            f"THEN DATE '1960-01-01' + CAST(floor({x}) AS INTEGER) END")
+            f"AND {day} BETWEEN -715509 AND 2936549 "
+            f"THEN DATE '1960-01-01' + CAST({day} AS INTEGER) END")
 
 
 def present(x: str, kind: str) -> str:
@@ -162,7 +165,7 @@ def with_(needs: list[str], body: str) -> str:
 
 
 def _missing_profile(table: str, cols) -> str:
-    aggs = ", ".join(f"count_if({missing(f'\"{c}\"', k)}) AS m{i}" for i, (c, k) in enumerate(cols))
+    aggs = ", ".join(f"CAST(count_if({missing(f'\"{c}\"', k)}) AS BIGINT) AS m{i}" for i, (c, k) in enumerate(cols))
     rows = " UNION ALL ".join(f"SELECT '{c}' AS cols, m{i} AS \"values\", total FROM t"
                               for i, (c, _) in enumerate(cols))
     return with_([table], f""", t AS (SELECT count(*) AS total, {aggs} FROM {table})
@@ -181,7 +184,7 @@ STAR = [("immigration_fact", "fact"), ("visatype", "visa_dim"),
 
 
 def _schema_report() -> str:
-    aggs = ", ".join(f"count_if(\"{c}\" IS NULL) AS n{i}" for i, (c, _) in enumerate(ARRIVAL_COLS))
+    aggs = ", ".join(f"CAST(count_if(\"{c}\" IS NULL) AS BIGINT) AS n{i}" for i, (c, _) in enumerate(ARRIVAL_COLS))
     rows = " UNION ALL ".join(
         f"SELECT {i} AS position, '{c}' AS column_name, '{SPARK_TYPE[k]}' AS data_type, "
         f"total AS n_rows, n{i} AS n_nulls FROM t" for i, (c, k) in enumerate(ARRIVAL_COLS))

@@ -12,16 +12,29 @@ from pyspark.sql import functions as F
 SAS_EPOCH = _dt.date(1960, 1, 1)
 SAS_MIN_DAY = -715509
 SAS_MAX_DAY = 2936549
+_MICROS_PER_DAY = 86400000000.0
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sas_day_number(x) -> Column:
+    """Whole days of a SAS day number as ``date + timedelta(x)`` counts them.
+
+    The fraction is rounded to the microsecond (half to even) first, so
+    -1e-12 is day 0 and -0.5 is day -1 (a floor, except within half a
+    microsecond of the next midnight).
+    """
+    x = _col(x)
+    whole = F.when(x >= 0, F.floor(x)).otherwise(F.ceil(x))
+    micros = F.bround((x - whole) * F.lit(_MICROS_PER_DAY), 0)
+    return whole + F.floor(micros / F.lit(_MICROS_PER_DAY))
+
+
 def sas_date(x, zero_is_null: bool = True) -> Column:
     """Days since 1960-01-01 (a double) to a DATE.
 
-    Fractions are floored, as adding a fractional timedelta to a date does.
     NULL, NaN and days outside year 1..9999 give NULL; so does 0 when
     ``zero_is_null`` (the original conversion tested the value for truth).
     """
@@ -29,7 +42,9 @@ def sas_date(x, zero_is_null: bool = True) -> Column:
     valid = (x >= F.lit(SAS_MIN_DAY)) & (x < F.lit(SAS_MAX_DAY + 1)) & ~F.isnan(x)
     if zero_is_null:
         valid = valid & (x != F.lit(0.0))
-    return F.when(valid, F.date_add(F.lit(SAS_EPOCH), F.floor(x).cast("int")))
+    day = sas_day_number(x)
+    valid = valid & (day >= F.lit(SAS_MIN_DAY)) & (day <= F.lit(SAS_MAX_DAY))
+    return F.when(valid, F.date_add(F.lit(SAS_EPOCH), day.cast("int")))
 
 
 def calendar_columns(d) -> dict[str, Column]:

@@ -42,6 +42,16 @@ def canon(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {"double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT",
+                 "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_mismatches(schema, duck_types):
+    d = dict(duck_types)
+    return [(n, t, d.get(n)) for n, t in schema if SPARK_TO_DUCK.get(t, t) != d.get(n)]
+
+
 def rows_of(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return [tuple(canon(r[i]) for i in order) for r in rows], sorted(cols)
@@ -94,6 +104,9 @@ def main(argv):
             bad += 1
             print(f"{name:28s} ERROR {type(e).__name__}: {str(e)[:400]}")
             continue
+        tm = type_mismatches(r["schema"], r["duck_types"])
+        if tm:
+            print(f"{name:28s} TYPES {tm}")
         flag = "ok " if r["ok"] else "BAD"
         bad += not r["ok"]
         print(f"{name:28s} {flag} n={r['n']} cols={r['cols']} values={r['values']} {r['sec']}s")
