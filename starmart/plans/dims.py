@@ -30,9 +30,17 @@ def calendar_dim(arrivals: DataFrame) -> DataFrame:
 
 
 def country_averages(temperatures: DataFrame) -> DataFrame:
-    """Average temperature per title-cased country name (A2 on the join key)."""
-    return (temperatures.groupBy(title_case("Country").alias("country_name"))
-            .agg(F.avg("AverageTemperature").alias("average_temperature")))
+    """Average temperature per title-cased country name (A2 on the join key).
+
+    Sums and counts are taken per name as written (partial aggregation on
+    every task), and only the per-name rows are title-cased and merged, so
+    the string function runs once per spelling, not once per reading.
+    """
+    t = F.col("AverageTemperature")
+    per_name = (temperatures.groupBy("Country")
+                .agg(F.sum(t).alias("_sum"), F.count(t).alias("_n")))
+    return (per_name.groupBy(title_case("Country").alias("country_name"))
+            .agg(F.try_divide(F.sum("_sum"), F.sum("_n")).alias("average_temperature")))
 
 
 def avg_by_country(temperatures: DataFrame) -> DataFrame:

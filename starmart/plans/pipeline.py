@@ -1,8 +1,9 @@
 """M6-M8: the whole star in one run, and SQL views over it.
 
-The cleaned events feed four outputs.  They are persisted once
-(MEMORY_AND_DISK; a lost executor's blocks are recomputed from the short
-scan -> filter lineage) and released when every table is written.  Every
+The cleaned events feed four outputs.  They are staged once as Parquet in
+the shared folder: each dimension then scans one column of them (the
+cleaning predicate needs every column, so without staging each dimension
+would read whole events), and a lost executor recomputes nothing.  Every
 returned table is read back from what was written, so later use does not
 re-run the build, and ids cannot drift between the written and returned copy.
 """
@@ -11,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart import schemas
@@ -20,7 +20,7 @@ from starmart.operators.clean import clean_arrivals, clean_demographics, clean_t
 from starmart.plans import dims
 from starmart.plans.fact import arrivals_fact
 from starmart.sources.readers import read_table
-from starmart.sources.writers import write_table
+from starmart.sources.writers import stage_table, write_table
 
 STAR_TABLES = ("immigration_fact", "visatype", "immigration_calendar", "country", "demographics")
 
@@ -35,21 +35,20 @@ def build_star(spark: SparkSession, arrivals: DataFrame, temperatures: DataFrame
         if same_path(p, output):
             raise ValueError(f"output {output} equals input {p}")
     out = output.rstrip("/")
-    events = clean_arrivals(arrivals).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        visa = dims.visa_type_dim(events)
-        write_table(visa, f"{out}/visatype")
-        visa = read_table(spark, f"{out}/visatype")
+    events = stage_table(clean_arrivals(arrivals), "clean_arrivals")
 
-        cal = dims.calendar_dim(events)
-        write_table(cal, f"{out}/immigration_calendar", partition_by=schemas.CALENDAR_PARTITIONS)
+    visa = dims.visa_type_dim(events)
+    write_table(visa, f"{out}/visatype")
+    visa = read_table(spark, f"{out}/visatype")
 
-        temps = clean_temperatures(temperatures, order_by=temperature_order)
-        write_table(dims.country_dim(events, country_mapping, temps), f"{out}/country")
+    cal = dims.calendar_dim(events)
+    write_table(cal, f"{out}/immigration_calendar", partition_by=schemas.CALENDAR_PARTITIONS)
+
+    temps = clean_temperatures(temperatures, order_by=temperature_order)
+    write_table(dims.country_dim(events, country_mapping, temps), f"{out}/country")
+
+    write_table(arrivals_fact(events, visa), f"{out}/immigration_fact")
 
-        write_table(arrivals_fact(events, visa), f"{out}/immigration_fact")
-    finally:
-        events.unpersist()
     demo = clean_demographics(demographics, order_by=demographics_order)
     write_table(dims.demographics_dim(demo), f"{out}/demographics")
     return {name: read_table(spark, f"{out}/{name}") for name in STAR_TABLES}

@@ -2,6 +2,7 @@
 
 from starmart.sources.readers import (PipelineConfig, read_csv_table, read_events,
                                       read_table)
-from starmart.sources.writers import write_table
+from starmart.sources.writers import stage_table, write_table
 
-__all__ = ["PipelineConfig", "read_csv_table", "read_events", "read_table", "write_table"]
+__all__ = ["PipelineConfig", "read_csv_table", "read_events", "read_table", "stage_table",
+           "write_table"]

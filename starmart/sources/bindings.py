@@ -4,6 +4,11 @@ The driver tables hold no NULLs in the columns used, so fixed rules inject
 them: they replace values, they never drop rows.  The same rules are written
 as DuckDB CTEs in ``oracle_sql.py``.
 
+Joins between base tables are plain joins: Spark sizes each side from file
+statistics (broadcast under ``spark.sql.autoBroadcastJoinThreshold``) and AQE
+re-plans from measured shuffle sizes, splitting skewed keys; at scale
+``orders x customer`` is a sort-merge join.
+
 - arrivals:        orders JOIN customer, one event per order
 - country_mapping: nation (code, Name)
 - temperatures:    lineitem JOIN supplier JOIN nation, one reading per line
@@ -16,7 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions.text import title_case
-from starmart.operators.joins import lookup_join
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,13 +72,16 @@ TEMPERATURE_TIEBREAK = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
 def temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(*TEMPERATURE_TIEBREAK, "l_shipdate")
     s = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    sn = lookup_join(s, n, s.s_nationkey == n.n_nationkey, "inner")
-    joined = lookup_join(li, sn, li.l_suppkey == sn.s_suppkey, "inner")
+    # Title-case the nation names on the nation side (one row per nation),
+    # not once per reading after the join.
+    n = _read(spark, sf_dir, "nation").select("n_nationkey",
+                                               title_case("n_name").alias("Country"))
+    sn = s.join(n, s.s_nationkey == n.n_nationkey, "inner")
+    joined = li.join(sn, li.l_suppkey == sn.s_suppkey, "inner")
     return joined.select(
         F.to_date("l_shipdate").alias("dt"),
         F.col("s_name").alias("City"),
-        title_case("n_name").alias("Country"),
+        F.col("Country"),
         F.when(F.col("l_linenumber") == 7, F.lit(None))
          .otherwise(F.col("l_quantity") - 10).alias("AverageTemperature"),
         *TEMPERATURE_TIEBREAK,

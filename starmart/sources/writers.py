@@ -22,3 +22,16 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)
     return path
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back.
+
+    Cuts lineage for a table read by several later steps: they scan
+    columnar files (pruned, filters pushed) instead of re-running the plan,
+    and a lost executor costs nothing to recover.
+    """
+    from starmart.config import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
