@@ -262,6 +262,7 @@ WHERE {present('"Number of Veterans"', 'i')} AND {present('"Male Population"', '
     "agg_avg_by_country": with_(["clean_temperatures"], """SELECT Country,
   avg(AverageTemperature) AS average_temperature FROM clean_temperatures GROUP BY Country"""),
     "clean_arrivals": with_(["clean_arrivals"], "SELECT * FROM clean_arrivals"),
+    "stream_ingest_arrivals": with_(["clean_arrivals"], "SELECT * FROM clean_arrivals"),
     "clean_temperatures": with_(["clean_temperatures"], "SELECT * FROM clean_temperatures"),
     "clean_demographics": with_(["clean_demographics"], "SELECT * FROM clean_demographics"),
     "clean_report": with_(["arrivals", "temperatures", "demographics", "clean_arrivals",

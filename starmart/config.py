@@ -14,20 +14,32 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Row bound under which a lookup side is broadcast (checked, see operators.joins).
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# A lookup side is broadcast only if it has at most this many rows; dimensions
+# here have a few narrow columns, so this bounds a broadcast to tens of MB.
+DEFAULT_BROADCAST_MAX_ROWS = 500_000
 
 
 def _sc(spark: SparkSession):
-    return spark.sparkContext
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect has no SparkContext
+        return None
+
+
+def _conf_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:
+        return None
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session; raise when none is set."""
     sc = _sc(spark)
-    d = sc.getCheckpointDir()
+    d = sc.getCheckpointDir() if sc is not None else None
     if not d:
-        d = sc.getConf().get("spark.checkpoint.dir", None)
-        if d:
+        d = _conf_dir(spark) or (sc.getConf().get("spark.checkpoint.dir", None) if sc else None)
+        if d and sc is not None:
             sc.setCheckpointDir(d)
             d = sc.getCheckpointDir()
     if not d:
@@ -40,7 +52,9 @@ def shared_dir(spark: SparkSession) -> str:
 def ensure_shared_dir(spark: SparkSession) -> str:
     """For tests and local tools only: use a fresh /tmp folder if none is set."""
     sc = _sc(spark)
-    if not sc.getCheckpointDir() and not sc.getConf().get("spark.checkpoint.dir", None):
+    unset = (sc is not None and not sc.getCheckpointDir()
+             and not sc.getConf().get("spark.checkpoint.dir", None) and not _conf_dir(spark))
+    if unset:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return shared_dir(spark)
 

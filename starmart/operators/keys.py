@@ -4,7 +4,9 @@
 layout.  Here ids are ``0..n-1`` in key order, the same for any partition
 count, computed without moving all rows into one task:
 
-1. range-partition on the key and sort each partition;
+1. range-partition on the key and sort each partition (without a fixed
+   count AQE sizes the partitions from the data, so a small dimension
+   becomes one partition and a large key set stays spread);
 2. checkpoint, so both passes below see the same partitions (range bounds
    are sampled and could differ on a second evaluation);
 3. count rows per partition (one row per partition), turn the counts into
@@ -30,11 +32,10 @@ def assign_key(df: DataFrame, key: Sequence[str] | str, id_col: str = "id",
     equal keys still get distinct ids, in an unspecified order.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(f"`{k}`").asc_nulls_first() for k in keys]
-    staged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .checkpoint(eager=True))
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    staged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     pos = F.monotonically_increasing_id()
     located = staged.select("*", F.shiftright(pos, _LOCAL_BITS).alias("_part"),
                             (pos.bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))).alias("_pos"))

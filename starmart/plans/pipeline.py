@@ -42,7 +42,8 @@ def build_star(spark: SparkSession, arrivals: DataFrame, temperatures: DataFrame
     visa = read_table(spark, f"{out}/visatype")
 
     cal = dims.calendar_dim(events)
-    write_table(cal, f"{out}/immigration_calendar", partition_by=schemas.CALENDAR_PARTITIONS)
+    write_table(cal, f"{out}/immigration_calendar", partition_by=schemas.CALENDAR_PARTITIONS,
+                spread_partitions=True)
 
     temps = clean_temperatures(temperatures, order_by=temperature_order)
     write_table(dims.country_dim(events, country_mapping, temps), f"{out}/country")

@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                mode: str = "overwrite", max_records_per_file: int | None = None) -> str:
+                mode: str = "overwrite", max_records_per_file: int | None = None,
+                spread_partitions: bool = False) -> str:
     """Write ``df`` as Parquet; ``partition_by`` gives a Hive layout.
 
     Dynamic-partition writes sort each task by the partition columns, so a
-    task writes one file per partition it holds; no shuffle on low-cardinality
-    columns is forced here (one hot month would land in one task).
+    task writes one file per partition it holds.  By default no shuffle on
+    the partition columns is forced (one hot month of a fact table would land
+    in one task).  ``spread_partitions`` hashes rows by the partition columns
+    over ``spark.sql.shuffle.partitions`` tasks, so each directory is written
+    by one task and the directories are written in parallel: for small
+    tables with many partitions and no hot value, such as the calendar.
     """
+    if partition_by and spread_partitions:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(n, *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
