@@ -85,12 +85,13 @@ CTE = {
     "clean_temperatures": f"""clean_temperatures AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY dt, City, Country
-      ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn
+      ORDER BY l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, l_partkey NULLS FIRST,
+      l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST) AS rn
     FROM temperatures WHERE {present('AverageTemperature', 'd')}) WHERE rn = 1)""",
     "clean_demographics": f"""clean_demographics AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY "City", "State", "State Code", "Race"
-      ORDER BY c_custkey) AS rn
+      ORDER BY c_custkey NULLS FIRST) AS rn
     FROM demographics
     WHERE {present('"Number of Veterans"', 'i')} AND {present('"Male Population"', 'i')}
       AND {present('"Female Population"', 'i')} AND {present('"Foreign-born"', 'i')}
@@ -257,7 +258,8 @@ WHERE {present('"Number of Veterans"', 'i')} AND {present('"Male Population"', '
     "agg_distinct": with_(["temperatures"], "SELECT DISTINCT Country, City FROM temperatures"),
     "agg_dedup_keys": with_(["temperatures"], """SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY dt, City, Country
-    ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn
+    ORDER BY l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, l_partkey NULLS FIRST,
+      l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST) AS rn
   FROM temperatures) WHERE rn = 1"""),
     "agg_avg_by_country": with_(["clean_temperatures"], """SELECT Country,
   avg(AverageTemperature) AS average_temperature FROM clean_temperatures GROUP BY Country"""),

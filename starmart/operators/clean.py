@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart import schemas
@@ -43,17 +43,27 @@ def deduplicate(df: DataFrame, keys: Sequence[str],
                 order_by: Sequence[str] | None = None) -> DataFrame:
     """One row per ``keys`` (NULL is a key value, as in ``dropDuplicates``).
 
-    With ``order_by`` the survivor is the row with the smallest
-    (order_by..., other columns...) tuple, NULLs first, so the result is
-    reproducible.  It is an aggregate, not a window: each map task keeps one
-    row per key before the shuffle, so a key holding a third of all rows
-    shrinks to one row per task instead of landing whole in one task.
+    With ``order_by`` the survivor is the first row in (order_by..., other
+    columns...) order, NULLs first, so the result is reproducible.
+
+    Skew: ``row_number() = 1`` plans a partial ``WindowGroupLimit`` before the
+    shuffle, so every map task keeps one row per key and a key holding a
+    third of all rows never lands whole in one task.  If that optimisation
+    is switched off in the session, the same result comes from
+    ``min(struct(...))`` per key, a partial aggregate.
     """
     keys = list(keys)
     if not order_by:
         return df.dropDuplicates(keys)
     order_by = list(order_by)
     rest = [c for c in df.columns if c not in keys and c not in order_by]
+    limit_on = int(df.sparkSession.conf.get(
+        "spark.sql.optimizer.windowGroupLimitThreshold", "1000")) >= 1
+    if limit_on:
+        w = Window.partitionBy(*[q(k) for k in keys]).orderBy(
+            *[q(c).asc_nulls_first() for c in order_by + rest])
+        return (df.withColumn("_rn", F.row_number().over(w))
+                .where(F.col("_rn") == 1).drop("_rn"))
     packed = F.struct(*[q(c) for c in order_by + rest]).alias("_s")
     best = df.groupBy(*[q(k) for k in keys]).agg(F.min(packed).alias("_s"))
     return best.select(*[q(k) if k in keys else F.col(f"_s.`{k}`").alias(k)

@@ -76,8 +76,10 @@ def temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     # not once per reading after the join.
     n = _read(spark, sf_dir, "nation").select("n_nationkey",
                                                title_case("n_name").alias("Country"))
-    sn = s.join(n, s.s_nationkey == n.n_nationkey, "inner")
-    joined = li.join(sn, li.l_suppkey == sn.s_suppkey, "inner")
+    # Each small side is a base table, so Spark sizes it from file statistics
+    # (a join result would be estimated as the product of its inputs).
+    joined = (li.join(s, li.l_suppkey == s.s_suppkey, "inner")
+              .join(n, F.col("s_nationkey") == n.n_nationkey, "inner"))
     return joined.select(
         F.to_date("l_shipdate").alias("dt"),
         F.col("s_name").alias("City"),

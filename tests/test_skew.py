@@ -28,8 +28,8 @@ def _partial_before_exchange(df):
     lines = plan.splitlines()
     for i, line in enumerate(lines):
         if "Exchange hashpartitioning" in line:
-            below = "\n".join(lines[i + 1:i + 4])
-            assert re.search(r"(Hash|Sort)Aggregate", below), plan
+            below = "\n".join(lines[i + 1:i + 5])
+            assert re.search(r"(Hash|Sort)Aggregate|WindowGroupLimit.*Partial", below), plan
     return plan
 
 
