@@ -13,13 +13,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart import schemas
 from starmart.config import same_path
 from starmart.operators.clean import clean_arrivals, clean_demographics, clean_temperatures
 from starmart.plans import dims
 from starmart.plans.fact import arrivals_fact
-from starmart.sources.readers import read_table
+from starmart.plans.quality import referential_checks, row_count_checks
+from starmart.sources.readers import PipelineConfig, read_csv_table, read_events, read_table
 from starmart.sources.writers import stage_table, write_table
 
 STAR_TABLES = ("immigration_fact", "visatype", "immigration_calendar", "country", "demographics")
@@ -55,6 +57,37 @@ def build_star(spark: SparkSession, arrivals: DataFrame, temperatures: DataFrame
     return {name: read_table(spark, f"{out}/{name}") for name in STAR_TABLES}
 
 
+def run_pipeline(spark: SparkSession, config: PipelineConfig,
+                 temperature_order: Sequence[str] | None = None,
+                 demographics_order: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """M6-M8 from files: read the four inputs as configured, build and write the
+    star, and return its tables plus ``checks`` (row counts and orphans).
+
+    Events come through any Spark data source (S1); temperatures and the
+    country mapping are comma CSV (S2), demographics ``;`` CSV (S3).
+    """
+    events = read_events(spark, config.events, config.events_format,
+                         config.events_schema or schemas.ARRIVALS, **config.events_options)
+    temps = read_csv_table(spark, config.temperatures,
+                           config.temperatures_schema or schemas.TEMPERATURES)
+    demo = read_csv_table(spark, config.demographics,
+                          config.demographics_schema or schemas.DEMOGRAPHICS, sep=";")
+    mapping = read_csv_table(spark, config.country_mapping,
+                             config.mapping_schema or schemas.COUNTRY_MAPPING)
+    star = build_star(spark, events, temps, demo, mapping, config.output,
+                      temperature_order=temperature_order,
+                      demographics_order=demographics_order, inputs=config.inputs())
+    fact = star["immigration_fact"]
+    counts = row_count_checks(star).select(
+        F.col("table_name").alias("check_name"), F.col("n_rows").alias("value"), "passed")
+    refs = referential_checks(fact, {
+        "fact_country": ("country_residence_code", star["country"], "country_code"),
+        "fact_visatype": ("visa_type_key", star["visatype"], "visa_type_key"),
+        "fact_calendar": ("arrdate", star["immigration_calendar"], "arrdate"),
+    }).select("check_name", F.col("orphans").alias("value"), "passed")
+    return {**star, "checks": counts.unionByName(refs)}
+
+
 def register_star(tables: Mapping[str, DataFrame], prefix: str = "") -> dict[str, str]:
     """Temp views named ``prefix + table`` for ad-hoc SQL; returns the names."""
     names = {}

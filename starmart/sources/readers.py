@@ -18,15 +18,22 @@ class PipelineConfig:
 
     events: str
     output: str
+    temperatures: str
+    demographics: str
+    country_mapping: str
     events_format: str = "parquet"
     events_options: dict = field(default_factory=dict)
-    temperatures: str | None = None
-    demographics: str | None = None
-    country_mapping: str | None = None
+    events_schema: T.StructType | None = None
+    temperatures_schema: T.StructType | None = None
+    demographics_schema: T.StructType | None = None
+    mapping_schema: T.StructType | None = None
 
     def table(self, name: str) -> str:
         return f"{self.output.rstrip('/')}/{name}"
 
+    def inputs(self) -> list[str]:
+        return [self.events, self.temperatures, self.demographics, self.country_mapping]
+
 
 def read_events(spark: SparkSession, path: str, fmt: str = "parquet",
                 schema: T.StructType | None = None, **options) -> DataFrame:
