@@ -59,9 +59,11 @@ def build_star(spark: SparkSession, arrivals: DataFrame, temperatures: DataFrame
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig,
                  temperature_order: Sequence[str] | None = None,
-                 demographics_order: Sequence[str] | None = None) -> dict[str, DataFrame]:
+                 demographics_order: Sequence[str] | None = None,
+                 checks: bool = True) -> dict[str, DataFrame]:
     """M6-M8 from files: read the four inputs as configured, build and write the
-    star, and return its tables plus ``checks`` (row counts and orphans).
+    star, and return its tables plus ``checks`` (row counts and orphans) unless
+    ``checks=False``.
 
     Events come through any Spark data source (S1); temperatures and the
     country mapping are comma CSV (S2), demographics ``;`` CSV (S3).
@@ -77,6 +79,8 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig,
     star = build_star(spark, events, temps, demo, mapping, config.output,
                       temperature_order=temperature_order,
                       demographics_order=demographics_order, inputs=config.inputs())
+    if not checks:
+        return star
     fact = star["immigration_fact"]
     counts = row_count_checks(star).select(
         F.col("table_name").alias("check_name"), F.col("n_rows").alias("value"), "passed")
