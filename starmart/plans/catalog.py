@@ -24,7 +24,7 @@ from starmart.operators.keys import assign_key
 from starmart.plans import analytics as A
 from starmart.plans import dims as M
 from starmart.plans.fact import arrivals_fact
-from starmart.plans.pipeline import STAR_TABLES, build_star, register_star, run_pipeline
+from starmart.plans.pipeline import STAR_TABLES, register_star, run_pipeline
 from starmart.plans.quality import referential_checks, row_count_checks
 from starmart.sources import bindings as B
 from starmart.sources.readers import PipelineConfig, read_csv_table, read_events, read_table
@@ -297,14 +297,6 @@ def fact_arrivals(spark, d):
     return _fact(spark, d)
 
 
-def _star(spark, d):
-    return build_star(spark, B.arrivals(spark, d), B.temperatures(spark, d),
-                      B.demographics(spark, d), B.country_mapping(spark, d),
-                      scratch_path(spark, "star"),
-                      temperature_order=B.TEMPERATURE_TIEBREAK,
-                      demographics_order=B.DEMOGRAPHICS_TIEBREAK)
-
-
 def stream_ingest_arrivals(spark, d):
     """Streaming ingestion: arrivals landed as files, cleaned exactly once."""
     arrivals = _arrivals(spark, d)
@@ -338,9 +330,11 @@ def pipeline_star(spark, d):
 
 def sql_star_view(spark, d):
     """Ad-hoc SQL with aliases and a qualified star over registered views."""
-    tables = _star(spark, d)
-    prefix = f"star_{uuid.uuid4().hex[:12]}_"
-    v = register_star(tables, prefix)
+    events = _staged_events(spark, d)
+    visa = M.visa_type_dim(events)
+    tables = {"immigration_fact": arrivals_fact(events, visa), "visatype": visa,
+              "country": _country(spark, d, events)}
+    v = register_star(tables, f"star_{uuid.uuid4().hex[:12]}_")
     return spark.sql(f"""
         SELECT c.*, t.visatype, count(*) AS n_events, sum(f.`count`) AS arrivals
         FROM {v['immigration_fact']} f

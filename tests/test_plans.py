@@ -39,3 +39,13 @@ def test_filter_pushed_to_scan(spark):
     from pyspark.sql import functions as F
     t = B.temperatures(spark, SF).where(F.col("l_quantity") > 10)
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)" in plan(t)
+
+
+def test_sql_over_views_ends_with_broadcast_lookups(spark):
+    """Plain SQL over registered views: AQE measures the small dimensions at run
+    time and replaces the planned sort-merge joins with broadcasts."""
+    df = E.queries()["sql_star_view"](spark, SF)
+    df.collect()
+    final = plan(df)
+    assert "isFinalPlan=true" in final
+    assert "SortMergeJoin" not in final and "BroadcastHashJoin" in final
