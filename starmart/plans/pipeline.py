@@ -6,6 +6,7 @@ cleaning predicate needs every column, so without staging each dimension
 would read whole events), and a lost executor recomputes nothing.  Every
 returned table is read back from what was written, so later use does not
 re-run the build, and ids cannot drift between the written and returned copy.
+The staged events are deleted once the last table is written.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from starmart.plans import dims
 from starmart.plans.fact import arrivals_fact
 from starmart.plans.quality import referential_checks, row_count_checks
 from starmart.sources.readers import PipelineConfig, read_csv_table, read_events, read_table
-from starmart.sources.writers import stage_table, write_table
+from starmart.sources.writers import staged, write_table
 
 STAR_TABLES = ("immigration_fact", "visatype", "immigration_calendar", "country", "demographics")
 
@@ -37,20 +38,19 @@ def build_star(spark: SparkSession, arrivals: DataFrame, temperatures: DataFrame
         if same_path(p, output):
             raise ValueError(f"output {output} equals input {p}")
     out = output.rstrip("/")
-    events = stage_table(clean_arrivals(arrivals), "clean_arrivals")
+    with staged(clean_arrivals(arrivals), "clean_arrivals") as events:
+        visa = dims.visa_type_dim(events)
+        write_table(visa, f"{out}/visatype")
+        visa = read_table(spark, f"{out}/visatype")
 
-    visa = dims.visa_type_dim(events)
-    write_table(visa, f"{out}/visatype")
-    visa = read_table(spark, f"{out}/visatype")
+        cal = dims.calendar_dim(events)
+        write_table(cal, f"{out}/immigration_calendar", partition_by=schemas.CALENDAR_PARTITIONS,
+                    spread_partitions=True)
 
-    cal = dims.calendar_dim(events)
-    write_table(cal, f"{out}/immigration_calendar", partition_by=schemas.CALENDAR_PARTITIONS,
-                spread_partitions=True)
+        temps = clean_temperatures(temperatures, order_by=temperature_order)
+        write_table(dims.country_dim(events, country_mapping, temps), f"{out}/country")
 
-    temps = clean_temperatures(temperatures, order_by=temperature_order)
-    write_table(dims.country_dim(events, country_mapping, temps), f"{out}/country")
-
-    write_table(arrivals_fact(events, visa), f"{out}/immigration_fact")
+        write_table(arrivals_fact(events, visa), f"{out}/immigration_fact")
 
     demo = clean_demographics(demographics, order_by=demographics_order)
     write_table(dims.demographics_dim(demo), f"{out}/demographics")

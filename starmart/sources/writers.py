@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
@@ -43,3 +44,24 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` on whatever Hadoop file system holds it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``stage_table`` for the length of a block; the staged copy is deleted
+    afterwards.  Nothing returned from the block may still read it."""
+    from starmart.config import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        delete_path(spark, path)
