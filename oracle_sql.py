@@ -312,7 +312,7 @@ WHERE NOT EXISTS (SELECT 1 FROM mapping m WHERE CAST(m.code AS DOUBLE) = a.i94re
     "dim_country": with_(["country_dim"], "SELECT * FROM country_dim"),
     "dim_demographics": with_(["demographics_dim"], "SELECT * FROM demographics_dim"),
     "fact_arrivals": with_(["fact"], "SELECT * FROM fact"),
-    "pipeline_star": with_([t for _, t in STAR], _count_union(STAR)),
+    "star_from_files": with_([t for _, t in STAR], _count_union(STAR)),
     "sql_star_view": with_(["fact", "visa_dim", "country_dim"], """
 SELECT c.*, t.visatype, count(*) AS n_events, sum(f."count") AS arrivals
 FROM fact f

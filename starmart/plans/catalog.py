@@ -308,7 +308,7 @@ def stream_ingest_arrivals(spark, d):
     return read_table(spark, table)
 
 
-def pipeline_star(spark, d):
+def star_from_files(spark, d):
     """M6-M8 end to end from files, as the original job ran: the four inputs
     are landed in their source formats, read back and turned into the star."""
     inputs = {"arrivals": B.arrivals(spark, d), "temperatures": B.temperatures(spark, d),
@@ -404,7 +404,7 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in [
     ("dim_visa_type", dim_visa_type), ("dim_calendar", dim_calendar),
     ("dim_country", dim_country), ("dim_demographics", dim_demographics),
     ("fact_arrivals", fact_arrivals), ("stream_ingest_arrivals", stream_ingest_arrivals),
-    ("pipeline_star", pipeline_star),
+    ("star_from_files", star_from_files),
     ("sql_star_view", sql_star_view), ("preview_rows", preview_rows),
     ("schema_report", schema_report), ("qc_row_counts", qc_row_counts),
     ("qc_referential", qc_referential), ("an_arrivals_by_climate", an_arrivals_by_climate),

@@ -40,6 +40,9 @@ DEMOGRAPHICS = T.StructType([
 
 COUNTRY_MAPPING = T.StructType([T.StructField("code", I), T.StructField("Name", S)])
 
+# Column names and column lists that must equal those of the
+# original job (sources' data dictionaries and its cleaning and model steps).
+
 # Columns found >90% empty in the source events; dropped by the cleaning step.
 SPARSE_ARRIVAL_COLUMNS = ("occup", "entdepu", "insnum")
 
