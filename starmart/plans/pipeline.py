@@ -28,15 +28,10 @@ from starmart.sources.writers import staged, write_table
 STAR_TABLES = ("immigration_fact", "visatype", "immigration_calendar", "country", "demographics")
 
 
-def build_star(spark: SparkSession, arrivals: DataFrame, temperatures: DataFrame,
-               demographics: DataFrame, country_mapping: DataFrame, output: str,
-               temperature_order: Sequence[str] | None = None,
-               demographics_order: Sequence[str] | None = None,
-               inputs: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Clean the inputs, build and write the five tables under ``output``."""
-    for p in inputs:
-        if same_path(p, output):
-            raise ValueError(f"output {output} equals input {p}")
+def build_event_tables(spark: SparkSession, arrivals: DataFrame, temperatures: DataFrame,
+                       country_mapping: DataFrame, output: str,
+                       temperature_order: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """M6: clean the events, write visa type, calendar, country and fact tables."""
     out = output.rstrip("/")
     with staged(clean_arrivals(arrivals), "clean_arrivals") as events:
         visa = dims.visa_type_dim(events)
@@ -51,10 +46,33 @@ def build_star(spark: SparkSession, arrivals: DataFrame, temperatures: DataFrame
         write_table(dims.country_dim(events, country_mapping, temps), f"{out}/country")
 
         write_table(arrivals_fact(events, visa), f"{out}/immigration_fact")
+    names = ("immigration_fact", "visatype", "immigration_calendar", "country")
+    return {name: read_table(spark, f"{out}/{name}") for name in names}
 
+
+def build_demographics_table(spark: SparkSession, demographics: DataFrame, output: str,
+                             demographics_order: Sequence[str] | None = None) -> DataFrame:
+    """M7: clean the demographics and write their dimension."""
+    path = f"{output.rstrip('/')}/demographics"
     demo = clean_demographics(demographics, order_by=demographics_order)
-    write_table(dims.demographics_dim(demo), f"{out}/demographics")
-    return {name: read_table(spark, f"{out}/{name}") for name in STAR_TABLES}
+    write_table(dims.demographics_dim(demo), path)
+    return read_table(spark, path)
+
+
+def build_star(spark: SparkSession, arrivals: DataFrame, temperatures: DataFrame,
+               demographics: DataFrame, country_mapping: DataFrame, output: str,
+               temperature_order: Sequence[str] | None = None,
+               demographics_order: Sequence[str] | None = None,
+               inputs: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Clean the inputs, build and write the five tables under ``output``."""
+    for p in inputs:
+        if same_path(p, output):
+            raise ValueError(f"output {output} equals input {p}")
+    star = build_event_tables(spark, arrivals, temperatures, country_mapping, output,
+                              temperature_order)
+    star["demographics"] = build_demographics_table(spark, demographics, output,
+                                                    demographics_order)
+    return {name: star[name] for name in STAR_TABLES}
 
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig,
