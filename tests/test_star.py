@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from starmart.config import scratch_path
 from starmart.operators.joins import orphans
