@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -46,11 +47,19 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Recursively delete ``path`` on whatever Hadoop file system holds it."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` on whatever Hadoop file system holds it.
+
+    Returns False (and leaves the files) where the session has no JVM handle,
+    as under Spark Connect.
+    """
+    try:
+        sc = spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True))
+    except Exception as e:  # no SparkContext / JVM: keep going, files stay
+        warnings.warn(f"could not delete staged data at {path}: {e}")
+        return False
 
 
 @contextmanager

@@ -99,3 +99,13 @@ def test_pipeline_refuses_writing_over_an_input(spark):
     spark.range(1).write.parquet(p)
     with pytest.raises(Exception):
         run_pipeline(spark, cfg)
+
+
+def test_staged_copy_is_deleted_after_the_block(spark):
+    import os
+
+    from starmart.sources.writers import staged
+    with staged(spark.range(5), "tmp") as df:
+        assert df.count() == 5
+        files = df.inputFiles()
+    assert files and not any(os.path.exists(f.replace("file:", "", 1)) for f in files)
