@@ -40,4 +40,5 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
             max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Fact rows whose key has no dimension row.  NULL keys are orphans."""
     d = dim.select(F.col(dim_key).alias("_dim_key")).distinct()
-    return lookup_join(fact, d, fact[fact_key] == d["_dim_key"], "left_anti", max_rows)
+    return lookup_join(fact, d, fact[fact_key] == d["_dim_key"], "left_anti", max_rows,
+                       stage=True)

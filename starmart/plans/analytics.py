@@ -26,8 +26,11 @@ def arrivals_by_climate(fact: DataFrame, country_dim: DataFrame,
     per_code = (fact.groupBy("country_residence_code")
                 .agg(F.sum("count").alias("arrivals")))
     temps = country_dim.select(F.col("country_code"), "average_temperature")
+    # The dimension may be derived from the events: stage it so the size check
+    # and the join do not both compute it.
     joined = lookup_join(per_code, temps,
-                         per_code["country_residence_code"] == temps["country_code"], "left")
+                         per_code["country_residence_code"] == temps["country_code"], "left",
+                         stage=True)
     t = F.col("average_temperature")
     band = (F.when(t.isNull(), "unknown").when(t >= F.lit(warm_threshold), "warm")
             .otherwise("cold"))
