@@ -7,6 +7,8 @@ aggregated ``distinct`` per dimension, and joins run on the distinct keys.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,13 +51,22 @@ def avg_by_country(temperatures: DataFrame) -> DataFrame:
             .agg(F.avg("AverageTemperature").alias("average_temperature")))
 
 
-def mapping_names(mapping: DataFrame) -> DataFrame:
-    """Country codes as doubles (the event type) and title-cased names."""
+def mapping_names(mapping: DataFrame, aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Country codes as doubles (the event type) and title-cased names.
+
+    ``aliases`` maps a title-cased mapping name to the name the temperature
+    data uses (e.g. ``{"China, Prc": "China"}``); names not in it stay.
+    """
+    name = title_case("Name")
+    if aliases:
+        lookup = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
+        name = F.coalesce(F.element_at(lookup, name), name)
     return mapping.select(F.col("code").cast("double").alias("country_code"),
-                          title_case("Name").alias("country_name"))
+                          name.alias("country_name"))
 
 
-def country_dim(arrivals: DataFrame, mapping: DataFrame, temperatures: DataFrame) -> DataFrame:
+def country_dim(arrivals: DataFrame, mapping: DataFrame, temperatures: DataFrame,
+                aliases: Mapping[str, str] | None = None) -> DataFrame:
     """M3: ``(country_code, country_name, average_temperature)``.
 
     One row per residence code seen in the events (NULL included); unmapped
@@ -63,7 +74,7 @@ def country_dim(arrivals: DataFrame, mapping: DataFrame, temperatures: DataFrame
     not on an event-sized join result.
     """
     codes = arrivals.select(F.col("i94res").alias("country_code")).distinct()
-    named = lookup_join(codes, mapping_names(mapping), "country_code", "left").distinct()
+    named = lookup_join(codes, mapping_names(mapping, aliases), "country_code", "left").distinct()
     return (lookup_join(named, country_averages(temperatures), "country_name", "left", stage=True)
             .select("country_code", "country_name", "average_temperature").distinct())
 

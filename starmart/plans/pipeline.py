@@ -30,7 +30,8 @@ STAR_TABLES = ("immigration_fact", "visatype", "immigration_calendar", "country"
 
 def build_event_tables(spark: SparkSession, arrivals: DataFrame, temperatures: DataFrame,
                        country_mapping: DataFrame, output: str,
-                       temperature_order: Sequence[str] | None = None) -> dict[str, DataFrame]:
+                       temperature_order: Sequence[str] | None = None,
+                       country_aliases: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
     """M6: clean the events, write visa type, calendar, country and fact tables."""
     out = output.rstrip("/")
     with staged(clean_arrivals(arrivals), "clean_arrivals") as events:
@@ -43,7 +44,8 @@ def build_event_tables(spark: SparkSession, arrivals: DataFrame, temperatures: D
                     spread_partitions=True)
 
         temps = clean_temperatures(temperatures, order_by=temperature_order)
-        write_table(dims.country_dim(events, country_mapping, temps), f"{out}/country")
+        write_table(dims.country_dim(events, country_mapping, temps, country_aliases),
+                    f"{out}/country")
 
         write_table(arrivals_fact(events, visa), f"{out}/immigration_fact")
     names = ("immigration_fact", "visatype", "immigration_calendar", "country")
@@ -63,13 +65,14 @@ def build_star(spark: SparkSession, arrivals: DataFrame, temperatures: DataFrame
                demographics: DataFrame, country_mapping: DataFrame, output: str,
                temperature_order: Sequence[str] | None = None,
                demographics_order: Sequence[str] | None = None,
-               inputs: Sequence[str] = ()) -> dict[str, DataFrame]:
+               inputs: Sequence[str] = (),
+               country_aliases: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
     """Clean the inputs, build and write the five tables under ``output``."""
     for p in inputs:
         if same_path(p, output):
             raise ValueError(f"output {output} equals input {p}")
     star = build_event_tables(spark, arrivals, temperatures, country_mapping, output,
-                              temperature_order)
+                              temperature_order, country_aliases)
     star["demographics"] = build_demographics_table(spark, demographics, output,
                                                     demographics_order)
     return {name: star[name] for name in STAR_TABLES}
@@ -96,7 +99,8 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig,
                              config.mapping_schema or schemas.COUNTRY_MAPPING)
     star = build_star(spark, events, temps, demo, mapping, config.output,
                       temperature_order=temperature_order,
-                      demographics_order=demographics_order, inputs=config.inputs())
+                      demographics_order=demographics_order, inputs=config.inputs(),
+                      country_aliases=config.country_aliases)
     if not checks:
         return star
     fact = star["immigration_fact"]

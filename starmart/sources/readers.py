@@ -27,6 +27,7 @@ class PipelineConfig:
     temperatures_schema: T.StructType | None = None
     demographics_schema: T.StructType | None = None
     mapping_schema: T.StructType | None = None
+    country_aliases: dict = field(default_factory=dict)
 
     def table(self, name: str) -> str:
         return f"{self.output.rstrip('/')}/{name}"
