@@ -3,10 +3,13 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart import schemas
 
@@ -93,35 +96,19 @@ def clean_demographics(df: DataFrame, order_by: Sequence[str] | None = None,
 
 # ---------------------------------------------------------------- A7
 
-def _kept_all(df: DataFrame, cols: Sequence[str]):
-    """Row survives ``dropna(how='all')`` over ``cols``."""
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    conds = [_nonnull(c, types[c]) for c in cols]
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
-    return out
-
-
-def _kept_any(df: DataFrame, cols: Sequence[str]):
-    """Row survives ``dropna(how='any')`` over ``cols``."""
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    conds = [_nonnull(c, types[c]) for c in cols]
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
+def _present(df: DataFrame, cols: Sequence[str]) -> list:
+    """Per column: not missing as ``dropna`` sees it (NaN too for floats)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = []
+    for c in cols:
+        col = q(c)
+        if isinstance(types[c], (T.DoubleType, T.FloatType)):
+            out.append(col.isNotNull() & ~F.isnan(col))
+        else:
+            out.append(col.isNotNull())
     return out
 
 
-def _nonnull(name: str, dtype) -> F.Column:
-    # dropna treats NaN as missing for floating columns only.
-    from pyspark.sql import types as T
-    c = q(name)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return c.isNotNull() & ~F.isnan(c)
-    return c.isNotNull()
-
-
 def step_counts(df: DataFrame, table: str, steps: Sequence[tuple]) -> DataFrame:
     """Rows in/out per cleaning step, from ONE aggregate over ``df``.
 
@@ -133,11 +120,9 @@ def step_counts(df: DataFrame, table: str, steps: Sequence[tuple]) -> DataFrame:
     kept = F.lit(True)
     aggs = [F.count(F.lit(1)).alias("n0")]
     for i, (_, kind, cols) in enumerate(steps, start=1):
-        if kind == "all":
-            kept = kept & _kept_all(df, cols)
-            aggs.append(F.count_if(kept).alias(f"n{i}"))
-        elif kind == "any":
-            kept = kept & _kept_any(df, cols)
+        if kind in ("all", "any"):
+            combine = operator.or_ if kind == "all" else operator.and_
+            kept = kept & reduce(combine, _present(df, cols))
             aggs.append(F.count_if(kept).alias(f"n{i}"))
         elif kind == "dedup":
             # A struct is never NULL, so NULL keys count as one value each.
@@ -155,7 +140,10 @@ def step_counts(df: DataFrame, table: str, steps: Sequence[tuple]) -> DataFrame:
             .withColumn("removed", F.col("rows_in") - F.col("rows_out")))
 
 
-ARRIVAL_STEPS = lambda cols: [("dropna_all", "all", cols)]
+def arrival_steps(cols: Sequence[str]) -> list[tuple]:
+    return [("dropna_all", "all", list(cols))]
+
+
 TEMPERATURE_STEPS = [("dropna_temperature", "any", ["AverageTemperature"]),
                      ("dedup", "dedup", list(schemas.TEMPERATURE_KEYS))]
 DEMOGRAPHICS_STEPS = [("dropna_measures", "any", list(schemas.DEMOGRAPHICS_MEASURES)),
@@ -166,6 +154,6 @@ def clean_report(arrivals: DataFrame, temperatures: DataFrame,
                  demographics: DataFrame) -> DataFrame:
     """One report of the three cleaning steps; each input is scanned once."""
     a = drop_columns(arrivals, schemas.SPARSE_ARRIVAL_COLUMNS)
-    return (step_counts(a, "arrivals", ARRIVAL_STEPS(a.columns))
+    return (step_counts(a, "arrivals", arrival_steps(a.columns))
             .unionByName(step_counts(temperatures, "temperatures", TEMPERATURE_STEPS))
             .unionByName(step_counts(demographics, "demographics", DEMOGRAPHICS_STEPS)))
