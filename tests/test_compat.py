@@ -39,3 +39,32 @@ def test_original_entry_points(spark):
     assert compat.create_immigration_time_df(events, out2).count() == \
         tables["immigration_calendar"].count()
     assert compat.missing_values_spark(events).count() == len(events.columns)
+
+
+def test_command_line(spark):
+    from pyspark.sql import functions as F
+
+    from starmart import schemas
+    from starmart.__main__ import main
+    base = scratch_path(spark, "cli")
+    arrivals = B.arrivals(spark, SF)
+    # Full source layouts: every column of the data dictionaries, as the CLI reads them.
+    full = arrivals.select(*[arrivals[f.name] if f.name in arrivals.columns
+                             else F.lit(None).cast(f.dataType).alias(f.name)
+                             for f in schemas.ARRIVALS.fields])
+    full.write.parquet(f"{base}/events")
+    temps = B.temperatures(spark, SF).select(
+        "dt", "AverageTemperature", F.lit(None).cast("double").alias("AverageTemperatureUncertainty"),
+        "City", "Country", F.lit(None).cast("string").alias("Latitude"),
+        F.lit(None).cast("string").alias("Longitude"))
+    temps.write.option("header", True).csv(f"{base}/temps")
+    B.demographics(spark, SF).drop("c_custkey").write.option("header", True) \
+        .option("sep", ";").csv(f"{base}/demo")
+    B.country_mapping(spark, SF).write.option("header", True).csv(f"{base}/map")
+    out = f"{base}/star"
+    assert main(["--events", f"{base}/events", "--temperatures", f"{base}/temps",
+                 "--demographics", f"{base}/demo", "--mapping", f"{base}/map",
+                 "--output", out, "--temperature-order", "AverageTemperature"], spark) == 0
+    fact = spark.read.parquet(f"{out}/immigration_fact")
+    assert fact.count() == arrivals.count()
+    assert "record_id" in fact.columns and "visatype" not in fact.columns
