@@ -37,8 +37,13 @@ def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
 
 
 def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-            max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Fact rows whose key has no dimension row.  NULL keys are orphans."""
+            max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, stage: bool = False) -> DataFrame:
+    """Fact rows whose key has no dimension row.  NULL keys are orphans.
+
+    ``stage=True`` materialises the dimension's keys once when the dimension
+    is derived (not a written table), so the size check and the anti join do
+    not both compute it.
+    """
     d = dim.select(F.col(dim_key).alias("_dim_key")).distinct()
     return lookup_join(fact, d, fact[fact_key] == d["_dim_key"], "left_anti", max_rows,
-                       stage=True)
+                       stage=stage)

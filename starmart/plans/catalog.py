@@ -272,7 +272,7 @@ def join_left_name(spark, d):
 def join_left_anti_orphans(spark, d):
     ev = _arrivals(spark, d).select("cicid", "i94res")
     m = B.country_mapping(spark, d).select(F.col("code").cast("double").alias("code"))
-    return orphans(ev, m, "i94res", "code")
+    return orphans(ev, m, "i94res", "code")  # a base table: no staging needed
 
 
 # ---------------------------------------------------------------- the star
@@ -365,7 +365,7 @@ def qc_referential(spark, d):
         "fact_country": ("country_residence_code", _country(spark, d, events), "country_code"),
         "fact_visatype": ("visa_type_key", visa, "visa_type_key"),
         "fact_calendar": ("arrdate", M.calendar_dim(events), "arrdate"),
-    })
+    }, stage_dims=True)
 
 
 def an_arrivals_by_climate(spark, d):

@@ -20,14 +20,16 @@ def row_count_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out.withColumn("passed", F.col("n_rows") > 0)
 
 
-def referential_checks(fact: DataFrame, checks: Mapping[str, tuple]) -> DataFrame:
+def referential_checks(fact: DataFrame, checks: Mapping[str, tuple],
+                       stage_dims: bool = False) -> DataFrame:
     """Q2: ``(check_name, orphans, passed)``; passes when no fact row is orphaned.
 
-    ``checks`` maps a name to ``(fact_key, dim_df, dim_key)``.
+    ``checks`` maps a name to ``(fact_key, dim_df, dim_key)``; ``stage_dims``
+    for dimensions derived in the same plan rather than read from tables.
     """
     parts = []
     for name, (fkey, dim, dkey) in checks.items():
-        o = orphans(fact.select(fkey), dim, fkey, dkey)
+        o = orphans(fact.select(fkey), dim, fkey, dkey, stage=stage_dims)
         parts.append(o.agg(F.count(F.lit(1)).alias("orphans"))
                      .select(F.lit(name).alias("check_name"), "orphans"))
     out = parts[0]
