@@ -76,8 +76,16 @@ def deduplicate(df: DataFrame, keys: Sequence[str],
 # ---------------------------------------------------------------- C1 - C3
 
 def clean_arrivals(df: DataFrame,
-                   sparse_columns: Sequence[str] = schemas.SPARSE_ARRIVAL_COLUMNS) -> DataFrame:
-    """Drop the sparse columns, then rows with every remaining column empty."""
+                   sparse_columns: Sequence[str] | str = schemas.SPARSE_ARRIVAL_COLUMNS,
+                   sparse_threshold_pct: float = 90.0) -> DataFrame:
+    """Drop the sparse columns, then rows with every remaining column empty.
+
+    ``sparse_columns="auto"`` finds them with the missing-value profile
+    (more than ``sparse_threshold_pct`` missing; runs one aggregate job).
+    """
+    if isinstance(sparse_columns, str) and sparse_columns == "auto":
+        from starmart.operators.profile import sparse_column_names
+        sparse_columns = sparse_column_names(df, sparse_threshold_pct)
     return drop_all_missing(drop_columns(df, sparse_columns))
 
 

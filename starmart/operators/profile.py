@@ -75,3 +75,12 @@ def schema_report(df: DataFrame) -> DataFrame:
 def preview(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
     """R2: the first ``n`` rows in key order (a top-k, not an arbitrary sample)."""
     return df.orderBy(*[q(c).asc_nulls_first() for c in order_by]).limit(n)
+
+
+def sparse_column_names(df: DataFrame, threshold_pct: float = 90.0) -> list[str]:
+    """C5 as a decision: names of columns more than ``threshold_pct`` missing.
+
+    One aggregate over ``df``; only the column names come back to the driver
+    (bounded by the number of columns).
+    """
+    return [r.cols for r in sparse_columns(missing_profile(df), threshold_pct).collect()]
