@@ -75,6 +75,11 @@ def _demographics_dim(spark, d):
     return M.demographics_dim(_clean_demographics(spark, d))
 
 
+def _demographics_rows(spark, d):
+    """The dimension's rows without ids: the state rollup never reads the id."""
+    return C.rename_columns(_clean_demographics(spark, d), schemas.DEMOGRAPHICS_RENAMES)
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 def src_arrivals(spark, d):
@@ -374,11 +379,11 @@ def an_arrivals_by_climate(spark, d):
 
 
 def an_arrivals_by_state(spark, d):
-    return A.arrivals_by_state(_fact(spark, d), _demographics_dim(spark, d), monthly=True)
+    return A.arrivals_by_state(_fact(spark, d), _demographics_rows(spark, d), monthly=True)
 
 
 def an_arrivals_by_state_year(spark, d):
-    return A.arrivals_by_state(_fact(spark, d), _demographics_dim(spark, d), monthly=False)
+    return A.arrivals_by_state(_fact(spark, d), _demographics_rows(spark, d), monthly=False)
 
 
 QUERIES: dict[str, Query] = {name: fn for name, fn in [
