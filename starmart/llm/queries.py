@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import langid, simhash
+from starmart.llm import langid, licenses, mixing, secrets, simhash
 from starmart.llm._util import table
 
 
@@ -27,5 +27,24 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                "score")
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_near_dedup, op6_language_id)}
-ORACLE: dict[str, str] = {}
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken of every document, and the
+    training position of its first pass (null when the mix takes nothing)."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken",
+                        F.round(F.get("positions", F.lit(0)), 6).alias("position"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of the license detections of every document."""
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of the secrets of every document."""
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op3_license_scan, op4_simhash_near_dedup, op6_language_id, op8_mix_sources, op9_secret_scan)}
+ORACLE: dict[str, str] = {"op8_mix_sources": mixing.ORACLE, "op9_secret_scan": secrets.oracle_sql()}
