@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import langid, licenses, mixing, secrets, simhash
+from starmart.llm import decontam, html_text, langid, licenses, mixing, secrets, simhash
 from starmart.llm._util import table
 
 
@@ -45,6 +45,21 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    out = html_text.extract(table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per contaminated document and benchmark item."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_license_scan, op4_simhash_near_dedup, op6_language_id, op8_mix_sources, op9_secret_scan)}
-ORACLE: dict[str, str] = {"op8_mix_sources": mixing.ORACLE, "op9_secret_scan": secrets.oracle_sql()}
+    op3_license_scan, op4_simhash_near_dedup, op5_html_extraction, op6_language_id,
+    op8_mix_sources, op9_secret_scan, op10_benchmark_decontamination)}
+ORACLE: dict[str, str] = {
+    "op8_mix_sources": mixing.ORACLE,
+    "op9_secret_scan": secrets.oracle_sql()}
