@@ -48,7 +48,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if now == before or not now[0]:
             break
         before = now
-        links = cut(_star(_star(links, True), False))
+        # A round at most doubles the edges.
+        links = cut(_star(_star(links, True), False), 2 * now[0])
     nodes = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return nodes.union(roots)

@@ -18,8 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``."""
+#: Rows of a few numbers that make one checkpoint file when a count is known.
+CUT_ROWS = 200_000
+
+
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+
+    With a known bound of ``rows`` the number of files follows it, so a small
+    table does not become a file per shuffle partition.
+    """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // CUT_ROWS)))
     return df.checkpoint(eager=True)
 
 

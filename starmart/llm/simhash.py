@@ -245,7 +245,7 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col:
     each.  Other columns of ``docs`` are not read.  An empty table gives none.
     """
     fp = cut(fingerprints(docs, shingle, id_col, text_col))
-    distinct = cut(fp.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    distinct = fp.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     comp = components(links(distinct.select("fp"), max_bits, max_list))
     # Components are over fingerprints; the smallest doc_id of each follows.
     of = distinct.join(comp, distinct["fp"] == comp["node"], "left").select(
