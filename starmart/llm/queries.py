@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import decontam, html_text, langid, licenses, mixing, secrets, simhash
+from starmart.llm import (decontam, embeddings, html_text, langid, licenses, lines, mixing, secrets,
+                          simhash)
 from starmart.llm._util import table
 
 
@@ -57,9 +58,21 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
                                  table(spark, sf_dir, "benchmark"))
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_exact, n_near and the dropped line numbers of every document."""
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector: cosine of 0.9 or more."""
+    out = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_license_scan, op4_simhash_near_dedup, op5_html_extraction, op6_language_id,
+    op1_line_dedup, op2_embedding_near_dedup, op3_license_scan, op4_simhash_near_dedup, op5_html_extraction, op6_language_id,
     op8_mix_sources, op9_secret_scan, op10_benchmark_decontamination)}
 ORACLE: dict[str, str] = {
+    "op1_line_dedup": lines.oracle_sql(),
     "op8_mix_sources": mixing.ORACLE,
     "op9_secret_scan": secrets.oracle_sql()}
