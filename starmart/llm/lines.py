@@ -211,38 +211,46 @@ def _near(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
                         F.when(first, F.col("b2")).otherwise(F.col("a2")).alias("h2")).distinct()
 
 
-def near_copies(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
-                short_list: int = SHORT_LIST) -> DataFrame:
-    """(h1, h2) of the lines that have an earlier line within ``max_edits``."""
-    k, specs = max_edits, _specs(max_edits)
-    lines = _lines(docs, min_chars)
-    names = [f"k{i}" for i in range(len(specs))]
+#: Low bits of a line's hash that the prefilter of the text fetch keeps; at
+#: most 2**20 numbers are broadcast.
+_FILTER = (1 << 20) - 1
+
+
+def _classes(lines: DataFrame, k: int) -> DataFrame:
+    """One row per different line: h1, h2, first and last place, n, keys."""
+    names = [f"k{i}" for i in range(len(_specs(k)))]
     hashed = lines.select("h1", "h2", "n", "place", *[
-        _key(F.col("line"), F.col("n"), k, s).alias(c) for c, s in zip(names, specs)])
-    # Equal lines are one line; all their keys agree.
-    classes = hashed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.min("n").alias("n"),
-                                             *[F.min(c).alias(c) for c in names])
-    keys = classes.select("h1", "h2", "n", "place", F.explode(F.array(*[
-        F.struct(F.col(c).alias("key"), F.lit(i).alias("spec"), F.lit(s[3]).alias("roles"))
-        for i, (c, s) in enumerate(zip(names, specs))])).alias("x")).select(
-        "h1", "h2", "n", "place", "x.key", "x.spec", "x.roles").where("key is not null")
-    members = cut(_shared(keys))
+        _key(F.col("line"), F.col("n"), k, s).alias(c) for c, s in zip(names, _specs(k))])
+    return hashed.groupBy("h1", "h2").agg(
+        F.min("place").alias("first"), F.max("place").alias("last"), F.min("n").alias("n"),
+        *[F.min(c).alias(c) for c in names])
 
-    # Texts of the lines that met another.  Written as files, so that the
-    # planner knows their size: it moves the lines to them only if it must.
-    from starmart.config import scratch_path
-    spark = docs.sparkSession
-    path = scratch_path(spark, "met_lines")
-    n = members.count()
-    (members.select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).distinct()
-     .coalesce(max(1, -(-n // 200_000))).write.parquet(path))
-    met = spark.read.schema("_h1 long, _h2 long").parquet(path)
-    texts = cut(lines.select("h1", "h2", "line", "place")
-                .join(met, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left_semi")
-                .groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("line").alias("line")),
-                n)
-    delete_path(spark, path)
 
+def _texts(lines: DataFrame, members: DataFrame) -> DataFrame:
+    """(h1, h2, place, line) of the lines that met another.
+
+    A prefilter on a few bits of the hash, of bounded size, spares most lines
+    the shuffle while few lines meet; the join after it decides.
+    """
+    met = cut(members.select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).distinct())
+    bits = met.select(F.col("_h1").bitwiseAND(F.lit(_FILTER)).alias("_bits")).distinct()
+    likely = lines.select("h1", "h2", "line", "place").join(
+        F.broadcast(bits), F.col("h1").bitwiseAND(F.lit(_FILTER)) == F.col("_bits"), "left_semi")
+    likely = likely.groupBy("h1", "h2").agg(F.min("place").alias("place"),
+                                            F.first("line").alias("line"))
+    return cut(likely.join(met, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")),
+                           "left_semi"))
+
+
+def _near_copies(lines: DataFrame, classes: DataFrame, k: int, short_list: int) -> DataFrame:
+    """(h1, h2) of the lines that have an earlier line within ``k`` edits."""
+    specs = _specs(k)
+    keys = classes.select("h1", "h2", "n", F.explode(F.array(*[
+        F.struct(F.col(f"k{i}").alias("key"), F.lit(i).alias("spec"), F.lit(s[3]).alias("roles"))
+        for i, s in enumerate(specs)])).alias("x")).select(
+        "h1", "h2", "n", "x.key", "x.spec", "x.roles").where("key is not null")
+    members = cut(_shared(keys))
+    texts = _texts(lines, members)
     hot = F.col("own") * F.col("met") > short_list * short_list
     near = _near(_pairs(members.where(~hot)), texts, k)
     open_ = members.where(hot)
@@ -299,15 +307,20 @@ def copied_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
     ``near`` tells lines with an earlier line within ``max_edits`` from later
     copies of a line that itself stays.
     """
-    near = cut(near_copies(docs, max_edits, min_chars, short_list))
-    lines = _lines(docs, min_chars).select("doc_id", "doc", "line_no", "h1", "h2", "place")
-    first = (lines.groupBy("h1", "h2").agg(F.min("place").alias("first"),
-                                           F.max("place").alias("last")).where("first < last"))
-    marks = (first.select("h1", "h2", "first", F.lit(False).alias("near"))
-             .union(near.select("h1", "h2", F.lit(None).cast("decimal(38,0)"), F.lit(True)))
-             .groupBy("h1", "h2").agg(F.min("first").alias("first"), F.max("near").alias("near"))
-             .withColumnsRenamed({"h1": "_h1", "h2": "_h2"}))
-    return (lines.join(marks, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")))
+    from starmart.config import scratch_path
+    lines, spark = _lines(docs, min_chars), docs.sparkSession
+    path = scratch_path(spark, "line_classes")
+    _classes(lines, max_edits).write.parquet(path)
+    classes = spark.read.parquet(path)
+    near = (_near_copies(lines, classes, max_edits, short_list)
+            .select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.lit(True).alias("_near")))
+    marks = cut(classes.join(near, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")),
+                             "left").where("_near or first < last")
+                .select(F.col("h1").alias("m1"), F.col("h2").alias("m2"), "first",
+                        F.coalesce("_near", F.lit(False)).alias("near")))
+    delete_path(spark, path)
+    at = lines.select("doc_id", "doc", "line_no", "h1", "h2", "place")
+    return (at.join(marks, (F.col("h1") == F.col("m1")) & (F.col("h2") == F.col("m2")))
             .where("near or place > first").select("doc_id", "doc", "line_no", "near"))
 
 
@@ -377,7 +390,7 @@ m AS (SELECT x.line AS a, y.line AS b, x.place AS ap, y.place AS bp, x.n AS an,
       FROM k x JOIN k y ON x.s = y.s AND x.n = x.s
            AND right(x.line, x.s - x.h) = right(y.line, y.s - y.h)
       WHERE x.line <> y.line),
-e AS (SELECT * FROM m WHERE len(list_filter(range(0, bn), i -> left(a, i) = left(b, i)
+e AS (SELECT * FROM m WHERE len(list_filter(range(0, bn), lambda i: left(a, i) = left(b, i)
       AND substr(a, i + 1 + CAST(an = bn AS INTEGER)) = substr(b, i + 2))) > 0),
 near AS (SELECT DISTINCT CASE WHEN (ap, a) < (bp, b) THEN b ELSE a END AS line FROM e),
 g AS (SELECT l.doc_id, l.line_no, near.line IS NOT NULL AS near
