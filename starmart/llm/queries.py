@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import (decontam, embeddings, html_text, langid, licenses, lines, mixing, secrets,
-                          simhash)
+from starmart.llm import (decontam, embeddings, html_text, langid, licenses, lines, mixing, repeats,
+                          secrets, simhash)
 from starmart.llm._util import table
 
 
@@ -69,9 +69,15 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
+def op7_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document:
+    bytes of 200-byte strings that also start elsewhere go."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=200)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_embedding_near_dedup, op3_license_scan, op4_simhash_near_dedup, op5_html_extraction, op6_language_id,
-    op8_mix_sources, op9_secret_scan, op10_benchmark_decontamination)}
+    op7_repeat_removal, op8_mix_sources, op9_secret_scan, op10_benchmark_decontamination)}
 ORACLE: dict[str, str] = {
     "op1_line_dedup": lines.oracle_sql(),
     "op8_mix_sources": mixing.ORACLE,
