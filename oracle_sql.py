@@ -47,34 +47,54 @@ SPARK_TYPE = {"d": "double", "s": "string"}
 
 CTE = {
     "arrivals": """arrivals AS (
-  SELECT CAST(o_orderkey AS DOUBLE) AS cicid,
+  SELECT * EXCLUDE (k, e) REPLACE (
+      if(e, NULL, cicid) AS cicid, if(e, NULL, i94yr) AS i94yr, if(e, NULL, i94mon) AS i94mon,
+      if(e, NULL, i94res) AS i94res, if(e, NULL, arrdate) AS arrdate,
+      if(e, NULL, visatype) AS visatype, if(e, NULL, i94addr) AS i94addr,
+      if(e, NULL, "count") AS "count", if(e, NULL, occup) AS occup,
+      if(e, NULL, entdepu) AS entdepu)
+  FROM (SELECT o_orderkey AS k, o_orderkey % 211 = 0 AS e,
+         CAST(CASE WHEN o_orderkey % 109 = 0 THEN NULL WHEN o_orderkey % 113 = 0 THEN o_orderkey - 1
+                   ELSE o_orderkey END AS DOUBLE) AS cicid,
          CAST(year(o_orderdate) AS DOUBLE) AS i94yr,
          CAST(month(o_orderdate) AS DOUBLE) AS i94mon,
-         CAST(CASE WHEN o_orderkey % 103 = 0 THEN 99
-                   WHEN o_orderkey % 107 = 0 THEN NULL
-                   ELSE c_nationkey END AS DOUBLE) AS i94res,
+         CASE WHEN o_orderkey % 103 = 0 THEN CAST(99 AS DOUBLE)
+              WHEN o_orderkey % 107 = 0 THEN NULL
+              WHEN o_orderkey % 131 = 0 THEN CAST('nan' AS DOUBLE)
+              ELSE CAST(c_nationkey AS DOUBLE) END AS i94res,
          CASE WHEN o_orderkey % 101 = 0 THEN NULL
+              WHEN o_orderkey % 127 = 0 THEN CAST('nan' AS DOUBLE)
+              WHEN o_orderkey % 139 = 0 THEN CAST(0 AS DOUBLE)
+              WHEN o_orderkey % 7 = 0 THEN CAST(
+                date_diff('day', DATE '1960-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) + 0.75
               ELSE CAST(date_diff('day', DATE '1960-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE)
          END AS arrdate,
-         CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderpriority END AS visatype,
+         CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey % 137 = 0 THEN 'NaN'
+              ELSE o_orderpriority END AS visatype,
          substr(c_mktsegment, 1, 2) AS i94addr,
          CAST(1 AS DOUBLE) AS "count",
-         CAST(NULL AS VARCHAR) AS occup, CAST(NULL AS VARCHAR) AS entdepu,
+         CASE WHEN o_orderkey % 20 = 0 THEN 'STU' END AS occup,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'U' END AS entdepu,
          CAST(NULL AS VARCHAR) AS insnum
-  FROM orders JOIN customer ON o_custkey = c_custkey)""",
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey))""",
     "mapping": """mapping AS (SELECT n_nationkey AS code, n_name AS "Name" FROM nation)""",
     "temperatures": f"""temperatures AS (
-  SELECT CAST(l_shipdate AS DATE) AS dt, s_name AS City, {title('n_name')} AS Country,
-         CASE WHEN l_linenumber = 7 THEN NULL ELSE l_quantity - 10 END AS AverageTemperature,
+  SELECT CAST(l_shipdate AS DATE) AS dt, s_name AS City,
+         CASE WHEN l_linenumber % 3 = 0 THEN n_name ELSE {title('n_name')} END AS Country,
+         CASE WHEN l_linenumber = 7 THEN NULL WHEN l_partkey % 53 = 0 THEN CAST('nan' AS DOUBLE)
+              ELSE l_quantity - 10 END AS AverageTemperature,
          l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)""",
+  FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
+  LEFT JOIN nation ON s_nationkey = n_nationkey)""",
     "demographics": """demographics AS (
   SELECT concat('City_', c_nationkey) AS "City", c_mktsegment AS "State",
          CAST(35.5 AS DOUBLE) AS "Median Age",
          CASE WHEN c_acctbal < 0 THEN NULL ELSE 30000 END AS "Male Population",
-         35000 AS "Female Population", 65000 + c_nationkey * 1000 AS "Total Population",
-         5000 AS "Number of Veterans", 10000 AS "Foreign-born",
-         CAST(2.5 AS DOUBLE) AS "Average Household Size",
+         CASE WHEN c_custkey % 29 <> 0 THEN 35000 END AS "Female Population", 65000 + c_nationkey * 1000 AS "Total Population",
+         CASE WHEN c_custkey % 31 <> 0 THEN 5000 END AS "Number of Veterans",
+         CASE WHEN c_custkey % 37 <> 0 THEN 10000 END AS "Foreign-born",
+         CASE WHEN c_custkey % 41 = 0 THEN CAST('nan' AS DOUBLE)
+              WHEN c_custkey % 43 <> 0 THEN CAST(2.5 AS DOUBLE) END AS "Average Household Size",
          substr(c_mktsegment, 1, 2) AS "State Code", concat('Race_', c_custkey % 5) AS "Race",
          1000 AS "Count", c_custkey
   FROM customer)""",
@@ -206,16 +226,16 @@ LEFT JOIN state_pop p ON f.state_code = p.state_code""")
 
 
 def _referential() -> str:
-    return with_(["fact", "country_dim", "visa_dim", "calendar_dim"], """
-SELECT check_name, orphans, orphans = 0 AS passed FROM (
-  SELECT 'fact_country' AS check_name, count(*) AS orphans FROM fact f
-  WHERE NOT EXISTS (SELECT 1 FROM country_dim c WHERE c.country_code = f.country_residence_code)
-  UNION ALL
-  SELECT 'fact_visatype', count(*) FROM fact f
-  WHERE NOT EXISTS (SELECT 1 FROM visa_dim v WHERE v.visa_type_key = f.visa_type_key)
-  UNION ALL
-  SELECT 'fact_calendar', count(*) FROM fact f
-  WHERE NOT EXISTS (SELECT 1 FROM calendar_dim c WHERE c.arrdate = f.arrdate))""")
+    def one(check, dim, key, fkey):
+        return (f"SELECT '{check}' AS check_name, count(*) FILTER (f.{fkey} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {dim} d WHERE d.{key} = f.{fkey})) AS orphans, "
+                f"count(*) FILTER (f.{fkey} IS NULL) AS null_keys FROM fact f")
+    parts = " UNION ALL ".join([
+        one("fact_country", "country_dim", "country_code", "country_residence_code"),
+        one("fact_visatype", "visa_dim", "visa_type_key", "visa_type_key"),
+        one("fact_calendar", "calendar_dim", "arrdate", "arrdate")])
+    return with_(["fact", "country_dim", "visa_dim", "calendar_dim"],
+                 f"SELECT *, orphans = 0 AS passed FROM ({parts})")
 
 
 ORACLE: dict[str, str] = {
@@ -230,7 +250,9 @@ ORACLE: dict[str, str] = {
   cicid AS record_id, i94res AS country_residence_code, i94addr AS state_code FROM arrivals"""),
     "prj_select": with_(["arrivals"], "SELECT cicid, visatype, arrdate FROM arrivals"),
     "fn_cast_string": with_(["temperatures"], """SELECT CAST(dt AS VARCHAR) AS dt, City,
-  CAST(l_orderkey AS VARCHAR) AS l_orderkey, l_linenumber FROM temperatures"""),
+  CAST(l_orderkey AS VARCHAR) AS l_orderkey, l_linenumber,
+  CASE WHEN isnan(AverageTemperature) THEN 'NaN' ELSE CAST(AverageTemperature AS VARCHAR) END
+    AS average_temperature FROM temperatures"""),
     "flt_dropna_all": with_(["arrivals"], f"""SELECT cicid, i94res, arrdate, visatype
 FROM arrivals WHERE {present('i94res', 'd')} OR {present('arrdate', 'd')}
   OR {present('visatype', 's')}"""),
@@ -312,14 +334,27 @@ WHERE NOT EXISTS (SELECT 1 FROM mapping m WHERE CAST(m.code AS DOUBLE) = a.i94re
     "dim_country": with_(["country_dim"], "SELECT * FROM country_dim"),
     "dim_demographics": with_(["demographics_dim"], "SELECT * FROM demographics_dim"),
     "fact_arrivals": with_(["fact"], "SELECT * FROM fact"),
-    "star_from_files": with_([t for _, t in STAR], _count_union(STAR)),
+    "star_from_files": with_([t for _, t in STAR], """
+SELECT 'fact' AS part, f.record_id, f.state_code, f."count", f.arrdate, k.id AS calendar_id,
+       k.arrival_week, v.visatype, c.country_name, c.average_temperature, NULL AS city, NULL AS race,
+       CAST(NULL AS BIGINT) AS demographics_id
+FROM fact f LEFT JOIN visa_dim v ON f.visa_type_key = v.visa_type_key
+LEFT JOIN calendar_dim k ON f.arrdate IS NOT DISTINCT FROM k.arrdate
+LEFT JOIN country_dim c ON f.country_residence_code = c.country_code
+UNION ALL
+SELECT 'demographics', NULL, state_code, CAST("Count" AS DOUBLE), NULL, NULL, NULL, NULL, NULL,
+       average_household_size, "City", "Race", id FROM demographics_dim"""),
     "sql_star_view": with_(["fact", "visa_dim", "country_dim"], """
 SELECT c.*, t.visatype, count(*) AS n_events, sum(f."count") AS arrivals
 FROM fact f
 LEFT JOIN visa_dim t ON f.visa_type_key = t.visa_type_key
 LEFT JOIN country_dim c ON f.country_residence_code = c.country_code
 GROUP BY c.country_code, c.country_name, c.average_temperature, t.visatype"""),
-    "preview_rows": with_(["arrivals"], "SELECT * FROM arrivals ORDER BY cicid NULLS FIRST LIMIT 5"),
+    "preview_rows": with_(["arrivals"], """SELECT * FROM arrivals WHERE cicid IS NOT NULL
+ORDER BY cicid, arrdate NULLS FIRST, visatype NULLS FIRST, i94addr LIMIT 5"""),
+    "src_csv_reordered": with_(["mapping"], "SELECT * FROM mapping"),
+    "src_events_extra_column": with_(["clean_arrivals"], """SELECT *, CASE WHEN cicid % 2 = 0
+  THEN 'even' END AS extra FROM clean_arrivals"""),
     "schema_report": _schema_report(),
     "qc_row_counts": with_([t for _, t in STAR], "SELECT *, n_rows > 0 AS passed FROM ("
                            + _count_union(STAR) + ")"),

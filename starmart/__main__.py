@@ -24,6 +24,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="starmart", description=__doc__.splitlines()[0])
     p.add_argument("--events", required=True)
     p.add_argument("--events-format", default="parquet")
+    p.add_argument("--events-option", action="append", default=[], metavar="KEY=VALUE",
+                   help="option of the events' reader, repeatable (CSV has a header by default)")
     p.add_argument("--temperatures", required=True)
     p.add_argument("--demographics", required=True)
     p.add_argument("--mapping", required=True)
@@ -45,7 +47,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
     a = parse(argv)
     spark = spark or SparkSession.builder.appName("starmart").getOrCreate()
+    options = dict(o.split("=", 1) for o in a.events_option)
     cfg = PipelineConfig(events=a.events, events_format=a.events_format, output=a.output,
+                         events_options=options,
                          temperatures=a.temperatures, demographics=a.demographics,
                          country_mapping=a.mapping)
     split = lambda s: [c for c in s.split(",") if c] or None

@@ -18,9 +18,10 @@ from starmart.operators import clean as C
 from starmart.operators.profile import missing_profile
 from starmart.plans import dims
 from starmart.plans.fact import arrivals_fact
-from starmart.plans.pipeline import build_demographics_table, build_event_tables
+from starmart.plans.pipeline import (build_demographics_table, build_event_tables, read_arrivals,
+                                     refuse_overlap)
 from starmart.plans.quality import referential_checks, row_count_checks
-from starmart.sources.readers import read_csv_table, read_events, read_table
+from starmart.sources.readers import read_csv_table, read_table
 from starmart.sources.writers import write_table
 
 
@@ -99,12 +100,15 @@ def process_input_data(spark: SparkSession, input_path: str, output_path: str,
                        immigration_file_name: str, temperature_file_name: str,
                        countries_mapping_df: DataFrame, events_format: str = "parquet",
                        events_schema=None, temperatures_schema=None,
-                       temperature_order=None) -> dict[str, DataFrame]:
-    """Events and temperatures -> visa type, calendar, country and fact tables."""
-    events = read_events(spark, _path(input_path, immigration_file_name), events_format,
-                         events_schema or schemas.ARRIVALS)
-    temps = read_csv_table(spark, _path(input_path, temperature_file_name),
-                           temperatures_schema or schemas.TEMPERATURES)
+                       temperature_order=None, **options) -> dict[str, DataFrame]:
+    """Events and temperatures -> visa type, calendar, country and fact tables.
+
+    ``options`` go to the reader of the events (a CSV has a header by default).
+    """
+    paths = [_path(input_path, f) for f in (immigration_file_name, temperature_file_name)]
+    refuse_overlap(paths, output_path)
+    events = read_arrivals(spark, paths[0], events_format, events_schema, **options)
+    temps = read_csv_table(spark, paths[1], temperatures_schema or schemas.TEMPERATURES)
     return build_event_tables(spark, events, temps, countries_mapping_df, output_path,
                               temperature_order)
 
@@ -112,8 +116,9 @@ def process_input_data(spark: SparkSession, input_path: str, output_path: str,
 def process_demographics_data(spark: SparkSession, input_path: str, output_path: str,
                               demographics_file_name: str, demographics_schema=None,
                               demographics_order=None) -> DataFrame:
-    demo = read_csv_table(spark, _path(input_path, demographics_file_name),
-                          demographics_schema or schemas.DEMOGRAPHICS, sep=";")
+    path = _path(input_path, demographics_file_name)
+    refuse_overlap([path], output_path, ["demographics"])
+    demo = read_csv_table(spark, path, demographics_schema or schemas.DEMOGRAPHICS, sep=";")
     return build_demographics_table(spark, demo, output_path, demographics_order)
 
 

@@ -13,11 +13,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Row bound under which a lookup side is broadcast (checked, see operators.joins).
-# A lookup side is broadcast only if it has at most this many rows; dimensions
-# here have a few narrow columns, so this bounds a broadcast to tens of MB.
-DEFAULT_BROADCAST_MAX_ROWS = 500_000
-
 
 def _sc(spark: SparkSession):
     try:
@@ -50,11 +45,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def ensure_shared_dir(spark: SparkSession) -> str:
-    """For tests and local tools only: use a fresh /tmp folder if none is set."""
+    """As ``shared_dir``; a session on a local master without a folder gets a
+    fresh one in /tmp.  On a cluster a machine-local folder would not do, so
+    there an unset folder raises."""
     sc = _sc(spark)
     unset = (sc is not None and not sc.getCheckpointDir()
              and not sc.getConf().get("spark.checkpoint.dir", None) and not _conf_dir(spark))
-    if unset:
+    if unset and sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return shared_dir(spark)
 
@@ -64,6 +61,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/starmart-scratch/{uuid.uuid4().hex}/{name}"
 
 
-def same_path(a: str, b: str) -> bool:
-    norm = lambda p: os.path.normpath(p.replace("file:", "", 1)).rstrip("/")
-    return norm(a) == norm(b)
+def _norm(path: str) -> str:
+    scheme, colon, rest = path.partition(":")
+    if colon and scheme == "file":
+        path = "/" + rest.lstrip("/")
+    head, sep, tail = path.partition("://")
+    return f"{head}{sep}{os.path.normpath(tail)}" if sep else os.path.normpath(path)
+
+
+def overlaps(a: str, b: str) -> bool:
+    """Whether two paths are equal or one lies inside the other."""
+    a, b = _norm(a), _norm(b)
+    return a == b or a.startswith(b.rstrip("/") + "/") or b.startswith(a.rstrip("/") + "/")

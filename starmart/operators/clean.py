@@ -46,31 +46,22 @@ def deduplicate(df: DataFrame, keys: Sequence[str],
                 order_by: Sequence[str] | None = None) -> DataFrame:
     """One row per ``keys`` (NULL is a key value, as in ``dropDuplicates``).
 
-    With ``order_by`` the survivor is the first row in (order_by..., other
-    columns...) order, NULLs first, so the result is reproducible.
+    The survivor is the first row in (order_by..., other columns...) order,
+    NULLs first, so equal inputs give equal results however they are laid out.
+    Without ``order_by`` that is the order of the other columns.
 
     Skew: ``row_number() = 1`` plans a partial ``WindowGroupLimit`` before the
     shuffle, so every map task keeps one row per key and a key holding a
-    third of all rows never lands whole in one task.  If that optimisation
-    is switched off in the session, the same result comes from
-    ``min(struct(...))`` per key, a partial aggregate.
+    third of all rows never lands whole in one task.
     """
-    keys = list(keys)
-    if not order_by:
+    keys, order_by = list(keys), list(order_by or ())
+    order = order_by + [c for c in df.columns if c not in keys and c not in order_by]
+    if not order:
         return df.dropDuplicates(keys)
-    order_by = list(order_by)
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    limit_on = int(df.sparkSession.conf.get(
-        "spark.sql.optimizer.windowGroupLimitThreshold", "1000")) >= 1
-    if limit_on:
-        w = Window.partitionBy(*[q(k) for k in keys]).orderBy(
-            *[q(c).asc_nulls_first() for c in order_by + rest])
-        return (df.withColumn("_rn", F.row_number().over(w))
-                .where(F.col("_rn") == 1).drop("_rn"))
-    packed = F.struct(*[q(c) for c in order_by + rest]).alias("_s")
-    best = df.groupBy(*[q(k) for k in keys]).agg(F.min(packed).alias("_s"))
-    return best.select(*[q(k) if k in keys else F.col(f"_s.`{k}`").alias(k)
-                         for k in df.columns])
+    w = Window.partitionBy(*[q(k) for k in keys]).orderBy(
+        *[q(c).asc_nulls_first() for c in order])
+    return (df.withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") == 1).drop("_rn"))
 
 
 # ---------------------------------------------------------------- C1 - C3
@@ -81,7 +72,8 @@ def clean_arrivals(df: DataFrame,
     """Drop the sparse columns, then rows with every remaining column empty.
 
     ``sparse_columns="auto"`` finds them with the missing-value profile
-    (more than ``sparse_threshold_pct`` missing; runs one aggregate job).
+    (more than ``sparse_threshold_pct`` missing; runs one aggregate job).  The
+    schema of the result then depends on the data.
     """
     if isinstance(sparse_columns, str) and sparse_columns == "auto":
         from starmart.operators.profile import sparse_column_names

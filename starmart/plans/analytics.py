@@ -39,6 +39,17 @@ def arrivals_by_climate(fact: DataFrame, country_dim: DataFrame,
                  F.count_distinct("country_residence_code").alias("countries")))
 
 
+def climate_of_events(events: DataFrame, mapping: DataFrame, temperatures: DataFrame,
+                      warm_threshold: float = DEFAULT_WARM_THRESHOLD) -> DataFrame:
+    """Q3 straight from cleaned events: one scan counts them per residence code,
+    and that short table is both the fact and the list of countries."""
+    from starmart.plans.dims import country_of
+    per_code = (events.groupBy(F.col("i94res").alias("country_residence_code"))
+                .agg(F.sum("count").alias("count"))).checkpoint(eager=True)
+    codes = per_code.select(F.col("country_residence_code").alias("country_code"))
+    return arrivals_by_climate(per_code, country_of(codes, mapping, temperatures), warm_threshold)
+
+
 def state_population(demographics_dim: DataFrame) -> DataFrame:
     """``(state_code, population)`` with each city counted once.
 

@@ -27,8 +27,13 @@ def visa_type_dim(arrivals: DataFrame) -> DataFrame:
 
 def calendar_dim(arrivals: DataFrame) -> DataFrame:
     """M2: one row per arrival date (NULL included) with its calendar parts."""
-    days = arrivals.select(sas_date("arrdate").alias("arrdate")).distinct()
-    return assign_key(days.withColumns(calendar_columns("arrdate")), "arrdate", "id")
+    return calendar_of(arrivals.select(sas_date("arrdate").alias("arrdate")))
+
+
+def calendar_of(days: DataFrame) -> DataFrame:
+    """M2 from typed dates (column ``arrdate``), as the fact table holds them."""
+    return assign_key(days.select("arrdate").distinct().withColumns(calendar_columns("arrdate")),
+                      "arrdate", "id")
 
 
 def country_averages(temperatures: DataFrame) -> DataFrame:
@@ -73,8 +78,21 @@ def country_dim(arrivals: DataFrame, mapping: DataFrame, temperatures: DataFrame
     codes keep a NULL name.  ``distinct`` runs on the codes before the joins,
     not on an event-sized join result.
     """
-    codes = arrivals.select(F.col("i94res").alias("country_code")).distinct()
-    named = lookup_join(codes, mapping_names(mapping, aliases), "country_code", "left").distinct()
+    return country_of(arrivals.select(F.col("i94res").alias("country_code")), mapping,
+                      temperatures, aliases)
+
+
+def named_countries(codes: DataFrame, mapping: DataFrame,
+                    aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """``(country_code, country_name)`` for the distinct codes."""
+    return lookup_join(codes.select("country_code").distinct(), mapping_names(mapping, aliases),
+                       "country_code", "left").distinct()
+
+
+def country_of(codes: DataFrame, mapping: DataFrame, temperatures: DataFrame,
+               aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """M3 from residence codes (column ``country_code``), repeated or not."""
+    named = named_countries(codes, mapping, aliases)
     return (lookup_join(named, country_averages(temperatures), "country_name", "left", stage=True)
             .select("country_code", "country_name", "average_temperature").distinct())
 

@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators.joins import orphans
 from starmart.operators.profile import row_count
 
 
@@ -20,26 +19,47 @@ def row_count_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out.withColumn("passed", F.col("n_rows") > 0)
 
 
-def referential_checks(fact: DataFrame, checks: Mapping[str, tuple],
-                       stage_dims: bool = False) -> DataFrame:
-    """Q2: ``(check_name, orphans, passed)``; passes when no fact row is orphaned.
+def referential_checks(fact: DataFrame, checks: Mapping[str, tuple]) -> DataFrame:
+    """Q2: ``(check_name, orphans, null_keys, passed)``.
 
-    ``checks`` maps a name to ``(fact_key, dim_df, dim_key)``; ``stage_dims``
-    for dimensions derived in the same plan rather than read from tables.
+    ``checks`` maps a name to ``(fact_key, dim_df, dim_key)``.  ``orphans`` are
+    fact rows whose key has no dimension row; ``null_keys`` are rows without a
+    key, which is sound (a NULL never joins).  A check passes without orphans.
+
+    One pass over the fact counts the rows of every key of every check (partial
+    aggregates on every task); only those counts meet the dimensions.
     """
-    parts = []
-    for name, (fkey, dim, dkey) in checks.items():
-        o = orphans(fact.select(fkey), dim, fkey, dkey, stage=stage_dims)
-        parts.append(o.agg(F.count(F.lit(1)).alias("orphans"))
-                     .select(F.lit(name).alias("check_name"), "orphans"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("passed", F.col("orphans") == 0)
+    names = list(checks)
+    fact_keys = F.array(*[F.struct(F.lit(n).alias("check_name"),
+                                   F.col(checks[n][0]).cast("string").alias("key"))
+                          for n in names])
+    counts = (fact.select(F.explode(fact_keys).alias("k"))
+              .groupBy("k.check_name", "k.key").agg(F.count(F.lit(1)).alias("n")))
+    dims = None
+    for n in names:
+        _, dim, key = checks[n]
+        part = dim.select(F.lit(n).alias("_check"), F.col(key).cast("string").alias("_key"))
+        dims = part if dims is None else dims.unionByName(part)
+    met = counts.join(dims.where("_key is not null").distinct(),
+                      (F.col("check_name") == F.col("_check")) & (F.col("key") == F.col("_key")),
+                      "left")
+    none = F.col("key").isNull()
+    found = met.groupBy("check_name").agg(
+        F.sum(F.when(~none & F.col("_key").isNull(), F.col("n"))).alias("orphans"),
+        F.sum(F.when(none, F.col("n"))).alias("null_keys"))
+    every = (fact.sparkSession.range(1)
+             .select(F.explode(F.array(*[F.lit(n) for n in names])).alias("check_name")))
+    return (every.join(found, "check_name", "left").select(
+        "check_name", F.coalesce("orphans", F.lit(0)).alias("orphans"),
+        F.coalesce("null_keys", F.lit(0)).alias("null_keys"))
+        .withColumn("passed", F.col("orphans") == 0))
 
 
-def assert_quality(results: DataFrame) -> None:
-    """Raise if any check row has ``passed = false`` (runs one small job)."""
-    failed = results.where(~F.col("passed")).limit(20).collect()
-    if failed:
-        raise AssertionError(f"quality checks failed: {[r.asDict() for r in failed]}")
+def assert_quality(results: DataFrame, show: int = 20) -> None:
+    """Raise if any check row has ``passed = false``; the message says how many
+    failed and lists the first ``show`` of them."""
+    failed = results.where(~F.col("passed"))
+    n = failed.count()
+    if n:
+        rows = [r.asDict() for r in failed.limit(show).collect()]
+        raise AssertionError(f"{n} quality checks failed: {rows}")

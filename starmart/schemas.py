@@ -46,6 +46,9 @@ COUNTRY_MAPPING = T.StructType([T.StructField("code", I), T.StructField("Name",
 # Columns found >90% empty in the source events; dropped by the cleaning step.
 SPARSE_ARRIVAL_COLUMNS = ("occup", "entdepu", "insnum")
 
+# Columns of the events that the star's tables are made of.
+REQUIRED_ARRIVAL_COLUMNS = ("cicid", "i94res", "arrdate", "i94addr", "count", "visatype")
+
 TEMPERATURE_KEYS = ("dt", "City", "Country")
 DEMOGRAPHICS_KEYS = ("City", "State", "State Code", "Race")
 DEMOGRAPHICS_MEASURES = ("Number of Veterans", "Male Population", "Female Population",

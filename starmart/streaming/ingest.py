@@ -7,6 +7,10 @@ same stateless steps as the batch pipeline (sparse columns dropped, all-empty
 rows removed) and appended to a Parquet table through the exactly-once file
 sink.  ``trigger(availableNow=True)`` processes what has landed and stops, so
 a scheduler can start the job once a day; without it the query keeps running.
+
+The checkpoint belongs to the table, not to the application: by default it
+lives inside the table's folder, so tomorrow's run, a new application, goes on
+where today's stopped, and two tables never share one.
 """
 
 from __future__ import annotations
@@ -15,10 +19,14 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starmart.config import shared_dir
 from starmart.operators.clean import clean_arrivals
 
 
+def default_checkpoint(table: str) -> str:
+    """Beside the table's files, under a name that readers of the table skip."""
+    return f"{table.rstrip('/')}/_checkpoints/ingest_arrivals"
+
+
 def ingest_arrivals(spark: SparkSession, landing: str, table: str, schema: T.StructType,
                     fmt: str = "parquet", checkpoint: str | None = None,
                     available_now: bool = True, max_files_per_trigger: int | None = None,
@@ -28,9 +36,9 @@ def ingest_arrivals(spark: SparkSession, landing: str, table: str, schema: T.Str
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     cleaned = clean_arrivals(reader.load(landing))
-    ckpt = checkpoint or f"{shared_dir(spark)}/streams/ingest_arrivals"
     writer = (cleaned.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", ckpt).option("path", table))
+              .option("checkpointLocation", checkpoint or default_checkpoint(table))
+              .option("path", table))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()

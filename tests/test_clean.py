@@ -65,15 +65,3 @@ def test_dedup_limits_each_group_before_the_shuffle(spark):
     lines = plan.splitlines()
     ex = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l)
     assert any("WindowGroupLimit" in l and "Partial" in l for l in lines[ex + 1:]), plan
-
-
-def test_dedup_fallback_without_group_limit(spark):
-    df = spark.createDataFrame([("a", 2, 1.0), ("a", 1, 5.0), ("b", 3, 2.0)],
-                               "k string, o int, v double")
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "-1")
-    try:
-        out = C.deduplicate(df, ["k"], order_by=["o"])
-        assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
-        assert sorted(tuple(r) for r in out.collect()) == [("a", 1, 5.0), ("b", 3, 2.0)]
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")

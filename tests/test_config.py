@@ -2,7 +2,7 @@
 
 import pytest
 
-from starmart.config import same_path, scratch_path, shared_dir
+from starmart.config import ensure_shared_dir, overlaps, scratch_path, shared_dir
 
 
 class _Conf:
@@ -47,5 +47,14 @@ def test_scratch_paths_are_fresh_and_under_the_shared_dir(spark):
     assert a != b and a.startswith(shared_dir(spark))
 
 
-def test_same_path():
-    assert same_path("file:/tmp/a/", "/tmp/a") and not same_path("/tmp/a", "/tmp/b")
+def test_overlapping_paths():
+    assert overlaps("file:/tmp/a/", "/tmp/a") and overlaps("file:///tmp/a", "/tmp/a/b")
+    assert overlaps("s3://b/x/y", "s3://b/x") and not overlaps("s3://b/xy", "s3://b/x")
+    assert not overlaps("/tmp/a", "/tmp/b") and not overlaps("/tmp/ab", "/tmp/a")
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Cluster(_SC):
+        master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_shared_dir(_Session(Cluster()))

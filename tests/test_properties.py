@@ -5,6 +5,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from starmart.operators import clean as C
+from pyspark.sql import functions as F
+
 from starmart.operators.joins import lookup_join
 from starmart.operators.keys import assign_key
 
@@ -35,17 +37,19 @@ def test_assign_key_equals_rank(spark, keys, parts):
     assert got == {k: i for i, k in enumerate(ordered)}
 
 
-def test_no_broadcast_beyond_the_bound(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+def test_broadcast_of_a_derived_side_follows_the_session_threshold(spark):
+    left = spark.range(100)
+    right = spark.range(40).select("id", F.repeat(F.lit("x"), 100).alias("wide"))
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
     try:
-        left, right = spark.range(100), spark.range(10)
-        small = lookup_join(left, right, "id", "left", max_rows=10)
-        big = lookup_join(left, right, "id", "left", max_rows=9)
-        plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+        small = lookup_join(left, right, "id", "left", stage=True)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")  # bytes count, not rows
+        big = lookup_join(left, right, "id", "left", stage=True)
         assert "BroadcastHashJoin" in plan(small)
         assert "BroadcastHashJoin" not in plan(big) and "SortMergeJoin" in plan(big)
+        for d in (small, big):  # no limit gathers rows in one task
+            assert "Limit" not in plan(d)
         assert small.count() == big.count() == 100
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
