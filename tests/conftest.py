@@ -17,6 +17,12 @@ def spark():
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.driver.memory", "4g")
+         # One session runs thousands of jobs: forget the finished ones.
+         .config("spark.ui.retainedJobs", "20").config("spark.ui.retainedStages", "20")
+         .config("spark.ui.retainedTasks", "500").config("spark.sql.ui.retainedExecutions", "5")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
