@@ -44,7 +44,7 @@ def test_broadcast_of_a_derived_side_follows_the_session_threshold(spark):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
         small = lookup_join(left, right, "id", "left", stage=True)
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")  # bytes count, not rows
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "300")  # bytes count, not rows
         big = lookup_join(left, right, "id", "left", stage=True)
         assert "BroadcastHashJoin" in plan(small)
         assert "BroadcastHashJoin" not in plan(big) and "SortMergeJoin" in plan(big)
