@@ -19,8 +19,8 @@ they are apart, which yields the merged order and its common prefixes without
 sorting suffixes again.  Suffixes whose common prefix is long enough, and which
 are preceded by the same bytes, are repeated intervals.
 
-An anchor with more contexts than ``_OPEN`` is not gathered in one task: its
-strings are counted by their hashes.
+An anchor that occurs more than ``_OPEN`` times is not gathered in one task: the
+strings of its different contexts are counted by their hashes.
 """
 
 from __future__ import annotations
@@ -38,7 +38,8 @@ from starmart.sources.writers import delete_path
 
 LENGTH = 200
 GRAM = 32
-#: Bytes scanned at a time, and contexts merged at a time.
+#: Bytes scanned at a time, contexts merged at a time, contexts of a shard, and
+#: the most occurrences of an anchor that one task gathers.
 _PIECE = 1 << 19
 _MERGE = 16384
 _SHARD = 4096
@@ -253,65 +254,30 @@ def _runs(flags: np.ndarray):
 
 # --------------------------------------------------------------------- Spark steps
 
-_ROW = "h long, c1 long, c2 long, s int, e int, at int, context binary"
-
-
 def _resolve(length: int):
     """Rows (h, c1, c2, n, at, context), sorted by h, to runs of repeated starts
-    (c1, c2, s, e); contexts of anchors too frequent to gather pass through."""
+    (c1, c2, s, e).  Whole groups are merged, about ``_MERGE`` contexts at a time."""
     def flush(held):
-        if not held:
-            return None
         h = np.array([r[0] for r in held], np.int64)
         group = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
         flags = repeated_starts(group, [r[5] for r in held], np.array([r[4] for r in held]),
                                 np.array([r[3] > 1 for r in held]), length)
         row, first, last = _runs(flags)
-        if not len(row):
-            return None
         c1, c2 = (np.array([r[i] for r in held], np.int64)[row] for i in (1, 2))
-        return _batch(h[row], c1, c2, first, last, None, None)
-
-    def _batch(h, c1, c2, s, e, at, context):
-        size = len(h)
-        null = lambda kind: pa.nulls(size, kind)
         return pa.RecordBatch.from_arrays(
-            [pa.array(h, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()),
-             null(pa.int32()) if s is None else pa.array(s, pa.int32()),
-             null(pa.int32()) if e is None else pa.array(e, pa.int32()),
-             null(pa.int32()) if at is None else pa.array(at, pa.int32()),
-             null(pa.binary()) if context is None else pa.array(context, pa.binary())],
-            names=["h", "c1", "c2", "s", "e", "at", "context"])
+            [pa.array(c1), pa.array(c2), pa.array(first.astype(np.int32)),
+             pa.array(last.astype(np.int32))], names=["c1", "c2", "s", "e"])
 
     def run(batches):
-        held: list[tuple] = []  # whole groups, then the group that is open
-        begin, hot = 0, None    # where the open group begins; an anchor passed through
+        held: list[tuple] = []
         for b in batches:
-            cols = [b.column(i).to_pylist() for i in range(6)]
-            through = []
-            for r in zip(*cols):
-                if r[0] == hot:
-                    through.append(r)
-                    continue
-                if not held or r[0] != held[-1][0]:
-                    if len(held) >= _MERGE:
-                        out = flush(held)
-                        if out is not None:
-                            yield out
-                        held = []
-                    begin, hot = len(held), None
+            for r in zip(*[b.column(i).to_pylist() for i in range(6)]):
+                if len(held) >= _MERGE and r[0] != held[-1][0]:
+                    yield flush(held)
+                    held = []
                 held.append(r)
-                if len(held) - begin > _OPEN:
-                    hot = r[0]
-                    through += held[begin:]
-                    del held[begin:]
-            if through:
-                yield _batch([r[0] for r in through], [r[1] for r in through],
-                             [r[2] for r in through], None, None,
-                             [r[4] for r in through], [r[5] for r in through])
-        out = flush(held)
-        if out is not None:
-            yield out
+        if held:
+            yield flush(held)
     return run
 
 
@@ -391,17 +357,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     different = seen.groupBy("h", "c1", "c2").agg(
         F.count(F.lit(1)).alias("n"), F.first("at").alias("at"),
         F.first("context").alias("context"))
-    resolved = cut(different.repartition("h").sortWithinPartitions("h")
-                   .select("h", "c1", "c2", "n", "at", "context")
-                   .mapInArrow(_resolve(length), _ROW))
-    runs = resolved.where("s is not null").select("c1", "c2", "s", "e")
-    open_ = resolved.where("s is null")
-    if not open_.isEmpty():
-        runs = runs.union(_by_hash(open_, length))
+    frequent = cut(seen.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > _OPEN)
+                   .select("h"))
+    gathered, runs = different, None
+    if not frequent.isEmpty():
+        gathered = different.join(frequent, "h", "left_anti")
+        open_ = different.join(frequent, "h", "left_semi")
         # A context that stands twice repeats as a whole.
-        runs = runs.union(seen.groupBy("c1", "c2").agg(
-            F.count(F.lit(1)).alias("n"), F.max(F.length("context")).alias("size"))
-            .where("n > 1").select("c1", "c2", F.lit(0), F.col("size") - length))
+        runs = _by_hash(open_, length).union(open_.where("n > 1").select(
+            "c1", "c2", F.lit(0), F.length("context") - length))
+    found = (gathered.repartition("h").sortWithinPartitions("h")
+             .select("h", "c1", "c2", "n", "at", "context")
+             .mapInArrow(_resolve(length), "c1 long, c2 long, s int, e int"))
+    runs = cut(found if runs is None else found.union(runs))
     runs = runs.withColumnsRenamed({"c1": "_c1", "c2": "_c2"})
     spans = (seen.select("c1", "c2", "t1", "t2", "lo")
              .join(runs, (F.col("c1") == F.col("_c1")) & (F.col("c2") == F.col("_c2")))

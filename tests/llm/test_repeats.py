@@ -62,22 +62,30 @@ def test_against_brute_force(spark, seed, length, gram):
     check(spark, corpus(seed), length, gram)
 
 
-def test_pieces_and_frequent_anchors(spark, monkeypatch):
-    """Long texts cut into pieces; anchors with many contexts go by hashes."""
-    monkeypatch.setattr(repeats, "_resolve", _small(repeats._resolve))
+@pytest.mark.parametrize("most", [3, 12])
+def test_frequent_anchors_go_by_hashes(spark, monkeypatch, most):
+    monkeypatch.setattr(repeats, "_OPEN", most)
     check(spark, corpus(3), 30, 8)
 
 
-def _small(resolve):
-    def wrapped(length):
-        def run(batches):
-            repeats._OPEN, repeats._MERGE = 3, 8
-            try:
-                yield from resolve(length)(batches)
-            finally:
-                repeats._OPEN, repeats._MERGE = 65536, 16384
-        return run
-    return wrapped
+def test_groups_merged_in_parts():
+    """Groups are never cut; flushing between them changes nothing."""
+    import pyarrow as pa
+    rng = random.Random(6)
+    rows = [(g, g * 100 + k, 0, 1 + (k == 0 and g % 5 == 0), 4,
+             bytes(rng.choice(b"ab") for _ in range(rng.randint(12, 16))))
+            for g in range(40) for k in range(rng.randint(1, 6))]
+    batches = lambda n: [pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows[s:s + n]]) for i in range(6)], names=list("abcdef"))
+        for s in range(0, len(rows), n)]
+    whole = [x for b in repeats._resolve(12)(batches(1000)) for x in b.to_pylist()]
+    before = repeats._MERGE
+    try:
+        repeats._MERGE = 5
+        parts = [x for b in repeats._resolve(12)(batches(7)) for x in b.to_pylist()]
+    finally:
+        repeats._MERGE = before
+    assert sorted(map(str, whole)) == sorted(map(str, parts)) and whole
 
 
 def test_pieces_of_long_texts(monkeypatch):
