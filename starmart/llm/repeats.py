@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm._util import cut, slices
+from starmart.operators.joins import lookup_join
 from starmart.sources.writers import delete_path
 
 LENGTH = 200
@@ -361,8 +362,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                    .select("h"))
     gathered, runs = different, None
     if not frequent.isEmpty():
-        gathered = different.join(frequent, "h", "left_anti")
-        open_ = different.join(frequent, "h", "left_semi")
+        # A short list (an _OPEN-th of all places): where it fits a broadcast, its
+        # contexts are told apart in place and never dealt by anchor.
+        gathered = lookup_join(different, frequent, "h", "left_anti", stage=True)
+        open_ = lookup_join(different, frequent, "h", "left_semi", stage=True)
         # A context that stands twice repeats as a whole.
         runs = _by_hash(open_, length).union(open_.where("n > 1").select(
             "c1", "c2", F.lit(0), F.length("context") - length))
