@@ -3,14 +3,16 @@
 Numbers, names and units become typed placeholders, so a benchmark question
 with other numbers or people has the same template.  A capitalised word is a
 name unless the benchmark also writes it in lower case; a unit is a unit word
-behind a number.  Windows of ``window`` template tokens are hash-joined, and
-every match is verified token by token.
+behind a number.  A match is a run of equal template tokens that covers
+``min_cover`` tokens, or the whole item if that is shorter, and at least one
+window of ``window`` tokens; so every stretch of that length in an item is
+hash-joined, and every alignment met is compared token by token.
 
-Matches of one document and item on one alignment are judged together.  Their
-slots must be consistent: each value of the benchmark's slots maps to one value
-of the document and back ("5 ... 5" may become "7 ... 7", not "7 ... 8").  An
-alignment contaminates when the windows of its longest consistent run cover
-``min_cover`` tokens, or the whole item if that is shorter.
+The run's slots must be consistent: each value of the benchmark's slots maps to
+one value of the document and back ("5 ... 5" may become "7 ... 7", not
+"7 ... 8").  It is specific if it holds MIN_LITERALS plain words, however many
+placeholders stand between them, or if its placeholders hold the item's own
+values; stretches without any plain word are therefore joined by raw tokens.
 
 The benchmark side is cut into blocks of at most ``block_tokens`` tokens, so
 what is broadcast is bounded; every block sees all documents.
@@ -18,9 +20,10 @@ what is broadcast is bounded; every block sees all documents.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-from collections import defaultdict
+from collections import defaultdict, deque
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ from starmart.llm._util import map_texts
 
 WINDOW = 8
 MIN_COVER = 13
-#: Words a window must hold beside its placeholders.
+#: Words a run must hold beside its placeholders, unless it is verbatim.
 MIN_LITERALS = 5
 #: Bound of one broadcast block, about 100 bytes a token.
 BLOCK_TOKENS = 500_000
@@ -85,101 +88,141 @@ def _template(text: str, ids: _Ids) -> tuple[list[str], np.ndarray]:
     return tokens, t
 
 
-def _hashes(t: np.ndarray, width: int) -> np.ndarray:
-    """Hash of every window of ``width`` ids."""
-    n = len(t) - width + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
+def _hashes(t: np.ndarray, widths):
+    """(width, hash of every window of ``width`` ids), for ascending widths."""
     x = t.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(29)
-    out = np.zeros(n, np.uint64)
-    for k in range(width):
-        out = out * np.uint64(0xBF58476D1CE4E5B9) + x[k:k + n]
-    return out ^ (out >> np.uint64(32))
+    out, done = np.zeros(len(t), np.uint64), 0
+    for width in sorted(widths):
+        if width > len(t):
+            return
+        for k in range(done, width):
+            out = out[:len(t) - k] * np.uint64(0xBF58476D1CE4E5B9) + x[k:]
+        done = width
+        yield width, out ^ (out >> np.uint64(32))
+
+
+def _raw(token: str) -> int:
+    """Id of a token as it stands, but for its case."""
+    return int.from_bytes(hashlib.blake2b(token.lower().encode("utf-8", "replace"), digest_size=8)
+                          .digest(), "little") >> 1
+
+
+def _literals(t: np.ndarray) -> np.ndarray:
+    """Plain words before every place."""
+    return np.concatenate([[0], np.cumsum(t >= _FIRST_UNIT)])
 
 
 class _Index:
-    """Windows of one block of benchmark items, by width and hash."""
+    """Shortest runs that contaminate, of one block of benchmark items, by width
+    and hash: as templates, and as raw tokens where a run has no plain word."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int):
+    def __init__(self, items: list[tuple[int, str]], window: int, min_cover: int):
         low = {w for _, text in items for w in _TOKEN.findall(text) if w[0].islower()}
         # Scripts without case are plain words too.
         low |= {w for _, text in items for w in _TOKEN.findall(text)
                 if not w[0].isdigit() and w.lower() == w.upper()}
         self.ids = _Ids({w: _FIRST_WORD + i for i, w in enumerate(sorted(w.lower() for w in low))})
         self.items = []
-        found = defaultdict(list)
+        found = defaultdict(list), defaultdict(list)
         for item, text in items:
             tokens, t = _template(text, self.ids)
             width = min(window, len(t))
-            need = min(MIN_LITERALS, max(width, 1))
+            least = max(width, min(min_cover, len(t)))
             at = len(self.items)
-            self.items.append((item, tokens, t, width))
+            self.items.append((item, tokens, t, width, least))
             if len(t) < MIN_LITERALS:
                 continue
-            literal = np.concatenate([[0], np.cumsum(t >= _FIRST_UNIT)])
-            for p, h in enumerate(_hashes(t, width).tolist()):
-                if literal[p + width] - literal[p] >= need:
-                    found[width].append((h, at, p))
-        self.widths = {}
-        for width, rows in found.items():
-            rows.sort()
-            self.widths[width] = (np.array([r[0] for r in rows], np.uint64),
-                                  [(r[1], r[2]) for r in rows])
-
-    def matches(self, text: str, min_cover: int):
+            literal = _literals(t)
+            plain = literal[least:] > literal[:-least]
+            for _, h in _hashes(t, [least]):
+                found[0][least] += [(int(h[q]), at, q) for q in np.nonzero(plain)[0].tolist()]
+            if not plain.all():
+                raw = np.fromiter(map(_raw, tokens), np.int64, len(tokens))
+                for _, h in _hashes(raw, [least]):
+                    found[1][least] += [(int(h[q]), at, q) for q in np.nonzero(~plain)[0].tolist()]
+        self.widths, self.raw_widths = map(_sorted, found)
+
+    def matches(self, text: str):
         """(item_id, windows, tokens covered, first token in the text) per item,
         for its best alignment."""
         tokens, t = _template(text, self.ids)
-        found = defaultdict(list)  # (item, alignment) -> places in the item
-        for width, (hashes, places) in self.widths.items():
-            h = _hashes(t, width)
-            if not len(h):
-                continue
-            lo = np.searchsorted(hashes, h, "left")
-            hit = np.nonzero((lo < len(hashes)) & (hashes[np.minimum(lo, len(hashes) - 1)] == h))[0]
-            for p in hit.tolist():
-                k = int(lo[p])
-                while k < len(hashes) and hashes[k] == h[p]:
-                    at, q = places[k]
-                    if (self.items[at][2][q:q + width] == t[p:p + width]).all():
-                        found[at, p - q].append(q)
-                    k += 1
+        found = set(_alignments(self.widths, t))
+        if self.raw_widths and len(t) >= min(self.raw_widths):
+            literal, least = _literals(t), min(self.raw_widths)
+            if (literal[least:] == literal[:-least]).any():
+                found.update(_alignments(self.raw_widths,
+                                         np.fromiter(map(_raw, tokens), np.int64, len(tokens))))
         best: dict[int, tuple] = {}
-        for (at, shift), starts in found.items():
-            item, words, bt, width = self.items[at]
-            n, cover, first = _consistent(sorted(starts), width, words, bt, tokens, shift)
-            if cover >= min(min_cover, len(bt)) and cover > best.get(item, (0, 0, 0))[1]:
-                best[item] = (n, cover, first)
+        for at, shift in sorted(found):
+            item, words, bt, width, least = self.items[at]
+            cover, first = _longest(words, bt, tokens, t, shift, least)
+            if cover > best.get(item, (0, 0, 0))[1]:
+                best[item] = (cover - width + 1, cover, first)
         return [(item, *b) for item, b in sorted(best.items())]
 
 
-def _consistent(starts, width, words, ids, tokens, shift) -> tuple[int, int, int]:
-    """(windows, tokens, first token) of the longest run of overlapping windows
-    whose slots map one to one."""
-    best = (0, 0, 0)
-    there: dict = {}
-    back: dict = {}
-    n, begin, end = 0, None, None
-    for q in starts:
-        if begin is not None and q > end:  # not overlapping or touching: a new run
-            n, begin, there, back = 0, None, {}, {}
-        ok, new = True, []
-        for j in range(q if begin is None else max(q, end), q + width):
-            if ids[j] <= _UNIT:
-                a, b = (ids[j], words[j].lower()), (ids[j], tokens[j + shift].lower())
-                if there.get(a, b) != b or back.get(b, a) != a:
-                    ok = False
-                    break
-                there[a], back[b] = b, a
-                new.append((a, b))
-        if not ok:
-            n, begin, there, back = 0, None, {}, {}
+def _sorted(found: dict) -> dict:
+    out = {}
+    for width, rows in found.items():
+        if rows:
+            rows.sort()
+            out[width] = np.array([r[0] for r in rows], np.uint64), [(r[1], r[2]) for r in rows]
+    return out
+
+
+def _alignments(widths: dict, t: np.ndarray):
+    """(item, shift) of every place where a window's hash is met."""
+    for width, h in _hashes(t, widths):
+        hashes, places = widths[width]
+        lo = np.searchsorted(hashes, h, "left")
+        hit = np.nonzero((lo < len(hashes)) & (hashes[np.minimum(lo, len(hashes) - 1)] == h))[0]
+        for p in hit.tolist():
+            k = int(lo[p])
+            while k < len(hashes) and hashes[k] == h[p]:
+                at, q = places[k]
+                yield at, p - q
+                k += 1
+
+
+def _longest(words, ids, tokens, t, shift, least) -> tuple[int, int]:
+    """(tokens, first token) of the longest run of ``least`` or more equal template
+    tokens that is specific: its slots map one to one and it holds enough plain
+    words, or its slots hold the item's own values."""
+    lo, hi = max(0, -shift), min(len(ids), len(t) - shift)
+    equal = np.zeros(hi - lo + 2, np.int8)
+    equal[1:-1] = ids[lo:hi] == t[lo + shift:hi + shift]
+    edges = np.nonzero(np.diff(equal))[0] + lo
+    literal = _literals(ids)
+    need = min(MIN_LITERALS, least)
+    best = (0, 0)
+    for begin, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        if end - begin < least:
             continue
-        begin = q if begin is None else begin
-        n, end = n + 1, q + width
-        if end - begin > best[1]:
-            best = (n, end - begin, begin + shift)
+        there: dict = {}
+        back: dict = {}
+        uses: dict = defaultdict(int)
+        held: deque = deque()  # slots of the run so far
+        runs, same = [], begin
+        for j in (np.nonzero(ids[begin:end] <= _UNIT)[0] + begin).tolist():
+            a, b = (ids[j], words[j].lower()), (ids[j], tokens[j + shift].lower())
+            if a != b:
+                runs.append((same, j, 0))
+                same = j + 1
+            if there.get(a, b) != b or back.get(b, a) != a:
+                runs.append((begin, j, need))
+                while there.get(a, b) != b or back.get(b, a) != a:
+                    i, c, d = held.popleft()
+                    begin = i + 1
+                    uses[c] -= 1
+                    if not uses[c]:
+                        del there[c], back[d]
+            there[a], back[b] = b, a
+            uses[a] += 1
+            held.append((j, a, b))
+        for i, j, words_needed in [*runs, (same, end, 0), (begin, end, need)]:
+            if j - i >= max(least, best[0] + 1) and literal[j] - literal[i] >= words_needed:
+                best = (j - i, i + shift)
     return best
 
 
@@ -209,11 +252,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                     F.col("text").cast("string").alias("_text"))
     out = None
     for items in _blocks(benchmark, block_tokens):
-        held = docs.sparkSession.sparkContext.broadcast(_Index(items, window))
+        held = docs.sparkSession.sparkContext.broadcast(_Index(items, window, min_cover))
 
         def run(b: pa.RecordBatch, held=held) -> pa.RecordBatch:
             rows = [(i, *m) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-                    if t for m in held.value.matches(t, min_cover)]
+                    if t for m in held.value.matches(t)]
             cols = list(zip(*rows)) if rows else [()] * 5
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in cols],
@@ -229,10 +272,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     """``docs`` without the contaminated rows; rows are judged one by one."""
     names = docs.columns
     for items in _blocks(benchmark, block_tokens):
-        held = docs.sparkSession.sparkContext.broadcast(_Index(items, window))
+        held = docs.sparkSession.sparkContext.broadcast(_Index(items, window, min_cover))
 
         def run(b: pa.RecordBatch, held=held) -> pa.RecordBatch:
-            return b.filter(pa.array([not t or not held.value.matches(t, min_cover)
+            return b.filter(pa.array([not t or not held.value.matches(t)
                                       for t in b.column("text").to_pylist()], pa.bool_()))
         docs = map_texts(docs.select(*[F.col(f"`{c}`") for c in names]), run, docs.schema, "text")
     return docs

@@ -70,6 +70,24 @@ def test_blocks_give_the_same(spark):
     assert [r.doc_id for r in decontam.drop_contaminated(docs, b, block_tokens=40).collect()] == [40]
 
 
+def test_items_dense_in_placeholders(spark):
+    apples = "John has 3 apples, Mary has 5 apples and Tom has 7 apples."
+    numbers = "Add 3 4 8 15 16 23 42 99 107 5 6 1 2 70"
+    long = ("we count the birds on every farm near town: Ann 3, Ben 4, Cid 5, Dan 6, Eve 7 "
+            "and then all of them fly away again")
+    b = spark.createDataFrame([(1, apples), (2, numbers), (3, long), (4, "Ann met 2 men")],
+                              "item_id long, text string")
+    other = apples.replace("John", "Bob").replace("Mary", "Sue").replace("3", "12").replace("7", "1")
+    texts = [apples, other, other.replace("Sue", "Bob"),  # two names become one
+             numbers, numbers.replace("42", "43"), "1 2 3 " * 50, CLEAN + long,
+             long.replace("Ann 3", "Kim 30"), "Ann met 2 men"]
+    docs = documents(spark, list(enumerate(texts)))
+    got = {(r.doc_id, r.item_id): r.n_tokens for r in decontam.contaminated(docs, b).collect()}
+    n = len(re.findall(r"\w+", long))
+    assert got == {(0, 1): 13, (1, 1): 13, (3, 2): 15, (6, 3): n, (7, 3): n}
+    assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, b).collect()) == [2, 4, 5, 8]
+
+
 def test_corner_tables(spark, bench):
     docs = documents(spark, awkward()).withColumn("item_id", F.lit("x"))
     assert decontam.contaminated(docs, bench).count() == 0
