@@ -1,12 +1,15 @@
 """Benchmark decontamination by templates (operator 10).
 
 Numbers, names and units become typed placeholders, so a benchmark question
-with other numbers or people has the same template.  A capitalised word is a
-name unless the benchmark also writes it in lower case; a unit is a unit word
-behind a number.  A match is a run of equal template tokens that covers
-``min_cover`` tokens, or the whole item if that is shorter, and at least one
-window of ``window`` tokens; so every stretch of that length in an item is
-hash-joined, and every alignment met is compared token by token.
+with other numbers or people has the same template.  A word is a name if the
+benchmark writes it only capitalised, in whatever case a document writes it, or
+if only a document has it, capitalised; which words are names is found once over
+the whole benchmark.  A unit is a unit word behind a number.
+
+A match is a run of equal template tokens that covers ``min_cover`` tokens, or
+the whole item if that is shorter, and at least one window of ``window`` tokens;
+so every stretch of that length in an item is hash-joined, and every alignment
+met is compared token by token.
 
 The run's slots must be consistent: each value of the benchmark's slots maps to
 one value of the document and back ("5 ... 5" may become "7 ... 7", not
@@ -15,7 +18,8 @@ placeholders stand between them, or if its placeholders hold the item's own
 values; stretches without any plain word are therefore joined by raw tokens.
 
 The benchmark side is cut into blocks of at most ``block_tokens`` tokens, so
-what is broadcast is bounded; every block sees all documents.
+what is broadcast is bounded, but for the words of the whole benchmark, which all
+blocks share; every block sees all documents.
 """
 
 from __future__ import annotations
@@ -55,14 +59,33 @@ _FIRST_UNIT = 4
 _FIRST_WORD = _FIRST_UNIT + len(UNITS)
 
 
+def _raw(token: str) -> int:
+    """Id of a token as it stands, but for its case."""
+    return int.from_bytes(hashlib.blake2b(token.lower().encode("utf-8", "replace"), digest_size=8)
+                          .digest(), "little") >> 1
+
+
+def _plain(token: str) -> bool:
+    """Whether a writing of a word shows that it is no name: it begins in lower
+    case, or its script has no case."""
+    return token[0].islower() or token.lower() == token.upper()
+
+
 class _Ids(dict):
-    """Template id of a raw token: 0 for words the benchmark does not have."""
+    """Template id of a raw token: 0 for words the benchmark does not have.
+
+    ``words`` holds the words and names of the whole benchmark, in lower case,
+    so that ids are the same for all its blocks.
+    """
 
     def __init__(self, words: dict[str, int]):
         super().__init__()
         self.words = words
         self.units = {u: _FIRST_UNIT + i for i, u in enumerate(UNITS)}
 
+    def __reduce__(self):  # without the memo
+        return _Ids, (self.words,)
+
     def __missing__(self, token: str) -> int:
         low = token.lower()
         if token[0].isdigit():
@@ -102,12 +125,6 @@ def _hashes(t: np.ndarray, widths):
         yield width, out ^ (out >> np.uint64(32))
 
 
-def _raw(token: str) -> int:
-    """Id of a token as it stands, but for its case."""
-    return int.from_bytes(hashlib.blake2b(token.lower().encode("utf-8", "replace"), digest_size=8)
-                          .digest(), "little") >> 1
-
-
 def _literals(t: np.ndarray) -> np.ndarray:
     """Plain words before every place."""
     return np.concatenate([[0], np.cumsum(t >= _FIRST_UNIT)])
@@ -117,16 +134,11 @@ class _Index:
     """Shortest runs that contaminate, of one block of benchmark items, by width
     and hash: as templates, and as raw tokens where a run has no plain word."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int, min_cover: int):
-        low = {w for _, text in items for w in _TOKEN.findall(text) if w[0].islower()}
-        # Scripts without case are plain words too.
-        low |= {w for _, text in items for w in _TOKEN.findall(text)
-                if not w[0].isdigit() and w.lower() == w.upper()}
-        self.ids = _Ids({w: _FIRST_WORD + i for i, w in enumerate(sorted(w.lower() for w in low))})
+    def __init__(self, items: list[tuple[int, str]], ids: _Ids, window: int, min_cover: int):
         self.items = []
         found = defaultdict(list), defaultdict(list)
         for item, text in items:
-            tokens, t = _template(text, self.ids)
+            tokens, t = _template(text, ids)
             width = min(window, len(t))
             least = max(width, min(min_cover, len(t)))
             at = len(self.items)
@@ -143,10 +155,10 @@ class _Index:
                     found[1][least] += [(int(h[q]), at, q) for q in np.nonzero(~plain)[0].tolist()]
         self.widths, self.raw_widths = map(_sorted, found)
 
-    def matches(self, text: str):
+    def matches(self, text: str, ids: _Ids):
         """(item_id, windows, tokens covered, first token in the text) per item,
         for its best alignment."""
-        tokens, t = _template(text, self.ids)
+        tokens, t = _template(text, ids)
         found = set(_alignments(self.widths, t))
         if self.raw_widths and len(t) >= min(self.raw_widths):
             literal, least = _literals(t), min(self.raw_widths)
@@ -226,16 +238,39 @@ def _longest(words, ids, tokens, t, shift, least) -> tuple[int, int]:
     return best
 
 
-def _blocks(benchmark: DataFrame, block_tokens: int):
-    """Bounded lists of (item_id, text), which together are the benchmark."""
+def _vocabulary(b: DataFrame) -> _Ids:
+    """Template ids over the whole benchmark's words and names."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        plain: dict[str, bool] = {}
+        for text in batch.column("text").to_pylist():
+            for w in _TOKEN.findall(text):
+                if not w[0].isdigit():
+                    low = w.lower()
+                    plain[low] = plain.get(low, False) or _plain(w)
+        return pa.RecordBatch.from_arrays([pa.array(plain.keys(), pa.string()),
+                                           pa.array(plain.values(), pa.bool_())],
+                                          names=["word", "plain"])
+    words = map_texts(b.select("text"), run, "word string, plain boolean", "text")
+    t = words.groupBy("word").agg(F.max("plain").alias("plain")).sort("word").toArrow()
+    return _Ids({w: _FIRST_WORD + i if plain else _NAME for i, (w, plain) in enumerate(
+        zip(t.column("word").to_pylist(), t.column("plain").to_pylist()))})
+
+
+def _blocks(benchmark: DataFrame, window: int, min_cover: int, block_tokens: int):
+    """Broadcast pairs (bounded index, template ids) whose indexes together hold
+    the benchmark; the ids are the same for all."""
     b = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                          F.col("text").cast("string").alias("text")).where(
         "text is not null and item_id is not null")
     size = b.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n = max(1, math.ceil(size / (5 * block_tokens)))
+    sc = benchmark.sparkSession.sparkContext
+    ids = _vocabulary(b)
+    shared = sc.broadcast(ids)
     for k in range(n):
         rows = b.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect() if n > 1 else b.collect()
-        yield sorted({(r.item_id, r.text) for r in rows})
+        yield sc.broadcast(_Index(sorted({(r.item_id, r.text) for r in rows}), ids, window,
+                                  min_cover)), shared
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -251,12 +286,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                     F.col("text").cast("string").alias("_text"))
     out = None
-    for items in _blocks(benchmark, block_tokens):
-        held = docs.sparkSession.sparkContext.broadcast(_Index(items, window, min_cover))
-
-        def run(b: pa.RecordBatch, held=held) -> pa.RecordBatch:
+    for held, ids in _blocks(benchmark, window, min_cover, block_tokens):
+        def run(b: pa.RecordBatch, held=held, ids=ids) -> pa.RecordBatch:
             rows = [(i, *m) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-                    if t for m in held.value.matches(t)]
+                    if t for m in held.value.matches(t, ids.value)]
             cols = list(zip(*rows)) if rows else [()] * 5
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in cols],
@@ -271,11 +304,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
                       min_cover: int = MIN_COVER, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``docs`` without the contaminated rows; rows are judged one by one."""
     names = docs.columns
-    for items in _blocks(benchmark, block_tokens):
-        held = docs.sparkSession.sparkContext.broadcast(_Index(items, window, min_cover))
-
-        def run(b: pa.RecordBatch, held=held) -> pa.RecordBatch:
-            return b.filter(pa.array([not t or not held.value.matches(t)
+    for held, ids in _blocks(benchmark, window, min_cover, block_tokens):
+        def run(b: pa.RecordBatch, held=held, ids=ids) -> pa.RecordBatch:
+            return b.filter(pa.array([not t or not held.value.matches(t, ids.value)
                                       for t in b.column("text").to_pylist()], pa.bool_()))
         docs = map_texts(docs.select(*[F.col(f"`{c}`") for c in names]), run, docs.schema, "text")
     return docs

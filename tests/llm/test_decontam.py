@@ -88,6 +88,22 @@ def test_items_dense_in_placeholders(spark):
     assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, b).collect()) == [2, 4, 5, 8]
 
 
+def test_case_and_blocks(spark, bench):
+    """Names match in any case, and are the same words in every block."""
+    assert found(spark, bench, [ITEMS[0][1].lower(), ITEMS[0][1].upper(), ITEMS[1][1].title()]) == {
+        (0, 1), (1, 1), (2, 2)}
+    tail = "can we say of the river that runs by this old mill in spring"
+    items = [(i, f"{w} {tail.replace('mill', v)}") for i, (w, v) in enumerate(
+        [("What", "what"), ("May", "house"), ("Will", "may"), ("Paris", "will")] * 3)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    # 'may' is a word of the benchmark: a name in its place breaks the run (texts 8, 20, 32).
+    texts = [f(t).replace("May", "Rome") for _, t in items for f in (str, str.lower, str.title)]
+    docs = documents(spark, list(enumerate(texts)))
+    rows = lambda **kw: sorted(decontam.contaminated(docs, b, **kw).collect())
+    assert {r.doc_id for r in rows()} == set(range(len(texts))) - {8, 20, 32}
+    assert rows() == rows(block_tokens=20)
+
+
 def test_corner_tables(spark, bench):
     docs = documents(spark, awkward()).withColumn("item_id", F.lit("x"))
     assert decontam.contaminated(docs, bench).count() == 0
