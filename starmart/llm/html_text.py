@@ -7,7 +7,8 @@ splits lines into content and the rest.  The smallest container that holds
 most of the content's characters, or the article or main element around it, is
 the content region.  The region's blocks are the text, without what elements,
 roles or class names mark as menus, headers, footers, sidebars, notices,
-adverts, forms or comments, and without link lists.
+adverts, forms or comments, and without link lists.  A class name or a form
+removes no element that wraps the page.
 
 Choosing a region rather than single lines keeps an article's short
 paragraphs, whose own ratio is as low as a menu's.
@@ -33,7 +34,7 @@ _BLOCK = frozenset(
 _CONTAINER = frozenset("article body div main section td table".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Never part of the text, wherever they are.
-_DROP = frozenset("aside button canvas dialog footer form frameset head iframe input label math menu "
+_DROP = frozenset("aside button canvas dialog footer frameset head iframe input label math menu "
                   "nav noframes noscript object script select style svg template textarea title "
                   "audio video map".split())
 _ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar "
@@ -46,6 +47,14 @@ _MARKS = frozenset(
     "alert popup modal overlay comment comments commentlist disqus reply replies respond share "
     "sharing social newsletter subscribe subscription signup login related recommended "
     "recommendations widget widgets pagination pager skip copyright disclaimer".split())
+#: Words beside "header" in the class of an article's own headline.
+_HEADLINE = frozenset("article blog content entry headline news page post recipe section story "
+                      "title".split())
+#: A marked container with this share of the content lines' characters is a wrapper.
+MARK_SHARE = 0.5
+#: Words of readers' replies, which can outweigh an article, and their share.
+_REPLIES = frozenset("comment comments commentlist disqus reply replies respond".split())
+REPLY_SHARE = 0.9
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 #: Elements that class names cannot remove: they hold the page or its headline.
@@ -56,8 +65,8 @@ _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
 _SCOPE = frozenset("ul ol dl table select div section article main body".split())
 
 
-def _marked(tag: str, attrs) -> bool:
-    """Whether the element's attributes say that it is not the article's text."""
+def _gone(attrs) -> bool:
+    """Whether the element's attributes say that it is hidden or no text of a page."""
     for name, value in attrs:
         v = value or ""
         if name == "hidden" or name == "aria-hidden" and v.lower() == "true":
@@ -66,18 +75,32 @@ def _marked(tag: str, attrs) -> bool:
             return True
         if name == "role" and v.lower() in _ROLES:
             return True
-        if name in ("class", "id") and tag not in _KEEP:
-            if not _MARKS.isdisjoint(_SPLIT.split(_CAMEL.sub(" ", v).lower())):
-                return True
     return False
 
 
+def _marks(attrs) -> set:
+    """Words in class names or ids that mark what is not the article."""
+    out = set()
+    for name, value in attrs:
+        if name in ("class", "id"):
+            for part in (value or "").split():
+                words = _SPLIT.split(_CAMEL.sub(" ", part).lower())
+                found = _MARKS.intersection(words)
+                if found != {"header"} or _HEADLINE.isdisjoint(words):
+                    out |= found
+    return out
+
+
 class _Lines(HTMLParser):
-    """Lines of a page: [text, tags, container, dropped, tag, linked characters]."""
+    """Lines of a page: [text, tags, container, dropped, tag, linked characters,
+    innermost marked element, whether an article or main is around]."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # (tag, dropped from here, container)
+        #: (tag, dropped from here, container, marked element, in an article or main)
+        self.stack: list[tuple[str, bool, int, int, bool]] = []
+        #: Of marked elements: the one around, whether it holds an article or main, the words.
+        self.marks: list[list] = [[-1, True, set()]]
         self.parents: list[tuple[int, str]] = [(-1, "body")]  # of containers
         self.lines: list[list] = []
         self.text: list[str] = []
@@ -87,12 +110,13 @@ class _Lines(HTMLParser):
         """Close the line that is open."""
         if self.text or self.tags:
             joined = " ".join("".join(self.text).split())
-            tag, dropped, container = self.stack[-1] if self.stack else ("body", False, 0)
-            self.lines.append([joined, self.tags, container, dropped, tag, self.linked])
+            tag, dropped, container, mark, inside = (self.stack[-1] if self.stack
+                                                     else ("body", False, 0, 0, False))
+            self.lines.append([joined, self.tags, container, dropped, tag, self.linked, mark, inside])
             self.text, self.tags, self.linked = [], 0, 0
 
     def _pop(self, at: int):
-        for tag, _, _ in self.stack[at:]:
+        for tag, *_ in self.stack[at:]:
             self.links -= tag == "a"
         del self.stack[at:]
 
@@ -113,16 +137,28 @@ class _Lines(HTMLParser):
             if tag == "br":
                 self.text.append(" ")
             return
-        _, dropped, container = self.stack[-1] if self.stack else ("", False, 0)
+        _, dropped, container, mark, inside = self.stack[-1] if self.stack else ("", False, 0, 0, False)
         if not dropped:
-            dropped = tag in _DROP or bool(attrs) and _marked(tag, attrs)
+            dropped = tag in _DROP or bool(attrs) and _gone(attrs)
             if tag == "header":  # a page header goes, an article's headline stays
-                dropped = dropped or not any(t in ("article", "main") for t, _, _ in self.stack)
+                dropped = dropped or not any(x[0] in ("article", "main") for x in self.stack)
+        if not dropped:
+            marked = _marks(attrs) if attrs else set()
+            if tag == "form":
+                marked.add(tag)
+            if tag in ("article", "main") and (tag == "main" or not marked):
+                inside, m = True, mark
+                while m > 0 and not self.marks[m][1]:
+                    self.marks[m][1] = True
+                    m = self.marks[m][0]
+            elif marked and tag not in _KEEP:
+                self.marks.append([mark, False, marked])
+                mark = len(self.marks) - 1
         if tag in _CONTAINER:
             self.parents.append((container, tag))
             container = len(self.parents) - 1
         self.links += tag == "a"
-        self.stack.append((tag, dropped, container))
+        self.stack.append((tag, dropped, container, mark, inside))
 
     def handle_startendtag(self, tag, attrs):
         # Browsers ignore the slash of elements that are not void.
@@ -172,6 +208,33 @@ def content_lines(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     return smooth >= cut
 
 
+def _content(lines) -> np.ndarray:
+    """Flags of the content lines; what is dropped counts as a ratio of 0."""
+    return content_lines(np.array([0.0 if x[3] else len(x[0]) / max(1, x[1]) for x in lines]))
+
+
+def _drop_marked(lines, marks):
+    """Drop the lines of marked elements (and forms), but for those that wrap the
+    page: they hold an article or main, or most of the content lines' characters,
+    counted in articles and mains if there are any.  Replies are judged first."""
+    for replies, share in ((True, REPLY_SHARE), (False, MARK_SHARE)):
+        if len(marks) == 1 or all(x[3] for x in lines):
+            return
+        within = any(x[7] and not x[3] for x in lines)
+        weight = [0] * len(marks)
+        for x, h in zip(lines, _content(lines)):
+            if h and not x[3] and (x[7] or not within):
+                weight[x[6]] += len(x[0])
+        for m in range(len(marks) - 1, 0, -1):  # elements inside come later
+            weight[marks[m][0]] += weight[m]
+        gone = [False]
+        for m, (around, holds, words) in enumerate(marks[1:], 1):
+            light = not holds and weight[m] < max(1, share * weight[0])
+            gone.append(gone[around] or light and replies != _REPLIES.isdisjoint(words))
+        for x in lines:
+            x[3] = x[3] or gone[x[6]]
+
+
 def main_text(html: str | None, share: float = 0.6) -> str:
     """The main text of a page, one block per line; empty if there is none."""
     if not html:
@@ -181,11 +244,11 @@ def main_text(html: str | None, share: float = 0.6) -> str:
     p.close()
     p._end()
     lines = [x for x in p.lines if x[0]]
+    _drop_marked(lines, p.marks)
     kept = [x for x in lines if not x[3]]
     if not kept:
         return ""
-    ratio = np.array([0.0 if x[3] else len(x[0]) / max(1, x[1]) for x in lines])
-    high = content_lines(ratio)
+    high = _content(lines)
     # Characters of content lines under each container; children come later.
     weight = [0] * len(p.parents)
     for x, h in zip(lines, high):

@@ -65,6 +65,23 @@ def test_small_pages(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='content-sidebar-wrap'><main><article>{}</article></main></div>",
+    "<div class='page right-sidebar'>{}</div>", "<div class='container no-sidebar'>{}</div>",
+    "<div id='layout with-header'><article>{}</article></div>",
+    "<form id=aspnetForm><div>{}</div><input name=x></form>",
+    "<article><div class='widget'>{}</div></article>",
+    "<div class='page right-sidebar'><div>{}</div><div class=sidebar><p>Other. " + LONG + "</p></div></div>",
+])
+def test_marked_wrappers_keep_the_page(page):
+    one = " ".join(LONG.split())
+    text = f"<div class='post-header'><h1>Headline</h1></div><p>{LONG}</p><p>Short.</p><p>{LONG}</p>"
+    page = ("<body><div class=header><h1>Site</h1></div>" + page.format(text)
+            + f"<ol class=comments><li><article class=comment><p>{LONG * 3}</p></article></ol></body>"
+            if "article" in page else page.format(text))
+    assert main_text(page).split("\n") == ["Headline", one, "Short.", one]
+
+
 def test_very_long_page():
     page = "<nav>x</nav><article>" + "<p>word &amp; word</p>" * 50000 + "</article>"
     assert main_text(page).count("\n") == 49999
