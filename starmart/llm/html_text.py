@@ -3,9 +3,10 @@
 The standard library's parser streams a page's events once.  Block elements
 cut its text into lines; each line has a text-to-tag ratio.  The ratios are
 smoothed with a Gaussian, and a threshold (the mean of two clusters of ratios)
-splits lines into content and the rest.  The smallest container that holds
-most of the content's characters, or the article or main element around it, is
-the content region.  The region's blocks are the text, without what elements,
+splits lines into content and the rest.  The article or main element around
+most of the content's characters is the content region; without one, it is the
+smallest container that holds nearly all of them, with the content lines that
+stand outside and the headings before it.  The region's blocks are the text, without what elements,
 roles or class names mark as menus, headers, footers, sidebars, notices,
 adverts, forms or comments, and without link lists.  A class name or a form
 removes no element that wraps the page.
@@ -235,8 +236,13 @@ def _drop_marked(lines, marks):
             x[3] = x[3] or gone[x[6]]
 
 
-def main_text(html: str | None, share: float = 0.6) -> str:
-    """The main text of a page, one block per line; empty if there is none."""
+def main_text(html: str | None, share: float = 0.6, whole: float = 0.95) -> str:
+    """The main text of a page, one block per line; empty if there is none.
+
+    The article or main element around the container of ``share`` of the
+    content lines' characters; without one, the container of ``whole`` of them,
+    the content lines outside and the headings before it.
+    """
     if not html:
         return ""
     p = _Lines()
@@ -260,17 +266,33 @@ def main_text(html: str | None, share: float = 0.6) -> str:
     total = sum(weight)
     for c in range(len(weight) - 1, 0, -1):
         weight[p.parents[c][0]] += weight[c]
-    region = max(c for c, w in enumerate(weight) if w >= share * total and _holds(c, weight, p.parents))
-    around = region
+    def innermost(part):
+        return max(c for c, w in enumerate(weight)
+                   if w >= part * total and _holds(c, weight, p.parents))
+
+    region = None
+    around = innermost(share)
     while around > 0:  # the article or main element around the region
         if p.parents[around][1] in ("article", "main"):
             region = around
         around = p.parents[around][0]
+    bounded = region is not None
+    if not bounded:
+        region = innermost(whole)
     inside = set()
     for c in range(len(p.parents)):
         if c == region or p.parents[c][0] in inside:
             inside.add(c)
-    return "\n".join(x[0] for x in _without_link_lists([x for x in kept if x[2] in inside]))
+    out, before = [], True
+    for x, h in zip(lines, high):
+        if x[3]:
+            continue
+        if x[2] in inside:
+            before = False
+            out.append(x)
+        elif not bounded and (h or before and x[4] in _HEADING and not x[5]):
+            out.append(x)
+    return "\n".join(x[0] for x in _without_link_lists(out))
 
 
 def _holds(c: int, weight, parents) -> bool:

@@ -82,6 +82,23 @@ def test_marked_wrappers_keep_the_page(page):
     assert main_text(page).split("\n") == ["Headline", one, "Short.", one]
 
 
+@pytest.mark.parametrize("page", [
+    "<div id=content><h1>Headline</h1><section>{0}{0}</section><section><p>Short.</p>{0}</section></div>",
+    "<h1>Headline</h1><div id=a><div>{0}{0}</div><div><p>Short.</p>{0}</div></div>",
+    "<div><h1>Headline</h1></div><table><tr><td>{0}{0}</td><td><p>Short.</p>{0}</td></tr></table>",
+])
+def test_whole_content_without_article(page):
+    one = " ".join(LONG.split())
+    page = f"<body><nav>menu</nav>{page.format(f'<p>{LONG}</p>')}<footer>x</footer></body>"
+    assert main_text(page).split("\n") == ["Headline", one, one, "Short.", one]
+
+
+def test_content_line_outside_the_region():
+    one = " ".join(LONG.split())
+    page = f"<h2>Top</h2><div>{f'<p>{LONG}</p>' * 60}</div><div><p>{LONG * 3}</p></div><div><a>x</a></div>"
+    assert main_text(page).split("\n") == ["Top", *[one] * 60, " ".join([one] * 3)]
+
+
 def test_very_long_page():
     page = "<nav>x</nav><article>" + "<p>word &amp; word</p>" * 50000 + "</article>"
     assert main_text(page).count("\n") == 49999
