@@ -2,9 +2,10 @@
 
 Texts are normalised to lower-case words joined by single spaces.  An ordered
 list of signature rules, each a regex over normalised text with a mandatory
-keyword, runs over every text that holds the keyword.  Rules come from three
+keyword, runs over every text that holds the keyword.  Rules come from four
 hand-written parts: full-text clauses of licenses, names of licenses under
-which they are mentioned, and the notice forms a name appears in.
+which they are mentioned, the notice forms a name appears in, and the
+identifiers that SPDX tags and their expressions (AND, OR, WITH) hold.
 
 Detections that overlap are resolved in order of (priority, length, place):
 one that lies inside a detection of equal or higher priority is suppressed.
@@ -138,10 +139,45 @@ NAMES = (
 FORMS = (
     ("grant", r"(?:is |are )?(?:licensed|released|distributed|available|provided|published|issued) "
               r"under (?:the )?(?:terms of )?(?:the )?(?:gnu )?", 30),
-    ("tag", r"spdx license identifier ", 40),
     ("name", "", 50),
 )
 
+#: Identifiers of SPDX tags.  The label is the identifier, or stands behind "=".
+SPDX = """
+    MIT MIT-0 MIT-CMU MIT-Modern-Variant ISC X11 Zlib zlib-acknowledgement Libpng libpng-2.0=libpng
+    NCSA W3C W3C-20150513=w3c curl ICU Unicode-3.0=unicode Unicode-DFS-2015=unicode
+    Unicode-DFS-2016=unicode Unicode-TOU=unicode JSON Vim Ruby Beerware WTFPL Unlicense PostgreSQL
+    OpenSSL SSLeay-standalone=ssleay NTP HPND Intel Info-ZIP IJG FTL BlueOak-1.0.0 Fair Naumen
+    0BSD=bsd-0-clause BSD-1-Clause BSD-2-Clause BSD-2-Clause-Patent BSD-2-Clause-Views BSD-3-Clause
+    BSD-3-Clause-Clear BSD-3-Clause-LBNL BSD-3-Clause-Attribution BSD-4-Clause BSD-4-Clause-UC
+    BSD-Source-Code BSL-1.0=boost-1.0 BUSL-1.1=bsl-1.1
+    Apache-1.0 Apache-1.1 Apache-2.0 AFL-1.1 AFL-1.2 AFL-2.0 AFL-2.1 AFL-3.0 APSL-1.0 APSL-2.0
+    Artistic-1.0 Artistic-1.0-cl8=artistic-1.0 Artistic-1.0-Perl=artistic-1.0 Artistic-2.0
+    CDDL-1.0 CDDL-1.1 CPL-1.0 CPAL-1.0 CPOL-1.02 CECILL-1.0 CECILL-1.1 CECILL-2.0 CECILL-2.1 CECILL-B
+    CECILL-C EPL-1.0 EPL-2.0 EUPL-1.0 EUPL-1.1 EUPL-1.2 ECL-1.0 ECL-2.0 EFL-1.0 EFL-2.0 IPL-1.0
+    Elastic-2.0 SSPL-1.0 UPL-1.0 MulanPSL-1.0 MulanPSL-2.0 MPL-1.0 MPL-1.1 MPL-2.0
+    MPL-2.0-no-copyleft-exception=mpl-2.0 MS-PL MS-RL MS-LPL NPL-1.0 NPL-1.1 NPOSL-3.0 OSL-1.0
+    OSL-1.1 OSL-2.0 OSL-2.1 OSL-3.0 OFL-1.0 OFL-1.0-RFN=ofl-1.0 OFL-1.0-no-RFN=ofl-1.0 OFL-1.1
+    OFL-1.1-RFN=ofl-1.1 OFL-1.1-no-RFN=ofl-1.1 OLDAP-2.8 PHP-3.0 PHP-3.01 PSF-2.0=python-2.0
+    Python-2.0 Python-2.0.1 QPL-1.0 RPL-1.5 SISSL Sleepycat SPL-1.0 TCL TU-Berlin-2.0 LPPL-1.0
+    LPPL-1.1 LPPL-1.2 LPPL-1.3a LPPL-1.3c ZPL-1.1 ZPL-2.0 ZPL-2.1 xpp Xnet
+    GPL-1.0 GPL-2.0 GPL-3.0 LGPL-2.0 LGPL-2.1 LGPL-3.0 AGPL-1.0 AGPL-3.0 GFDL-1.1 GFDL-1.2 GFDL-1.3
+    ODbL-1.0 ODC-By-1.0 PDDL-1.0 CC0-1.0 CC-PDDC CDLA-Permissive-1.0 CDLA-Permissive-2.0
+    CDLA-Sharing-1.0 CC-BY-1.0 CC-BY-2.0 CC-BY-2.5 CC-BY-3.0 CC-BY-4.0 CC-BY-SA-1.0 CC-BY-SA-2.0
+    CC-BY-SA-2.5 CC-BY-SA-3.0 CC-BY-SA-4.0 CC-BY-NC-1.0 CC-BY-NC-2.0 CC-BY-NC-2.5 CC-BY-NC-3.0
+    CC-BY-NC-4.0 CC-BY-ND-1.0 CC-BY-ND-2.0 CC-BY-ND-2.5 CC-BY-ND-3.0 CC-BY-ND-4.0 CC-BY-NC-SA-1.0
+    CC-BY-NC-SA-2.0 CC-BY-NC-SA-2.5 CC-BY-NC-SA-3.0 CC-BY-NC-SA-4.0 CC-BY-NC-ND-1.0 CC-BY-NC-ND-2.0
+    CC-BY-NC-ND-2.5 CC-BY-NC-ND-3.0 CC-BY-NC-ND-4.0
+    Autoconf-exception-2.0 Autoconf-exception-3.0 Bison-exception-2.2 Bootloader-exception
+    Classpath-exception-2.0 eCos-exception-2.0 Font-exception-2.0 GCC-exception-2.0
+    GCC-exception-3.1 GPL-CC-1.0 Libtool-exception Linux-syscall-note LLVM-exception
+    LGPL-3.0-linking-exception OCaml-LGPL-linking-exception OpenJDK-assembly-exception-1.0
+    Qt-LGPL-exception-1.1 Qt-GPL-exception-1.0 Swift-exception Universal-FOSS-exception-1.0
+    WxWindows-exception-3.1
+"""
+#: Licenses whose identifiers end in -only or -or-later.
+_LATER = ("gpl", "lgpl", "agpl", "gfdl")
+
 #: Clauses that identify a license text: (label, keyword, regex).
 CLAUSES = (
     ("mit", "permission is hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy"),
@@ -165,19 +201,47 @@ CLAUSES = (
 )
 
 
+def _spdx() -> list[tuple[str, str]]:
+    """(label, regex over normalised words) of every identifier."""
+    out = []
+    for entry in SPDX.split():
+        name, _, label = entry.partition("=")
+        label = label or name.lower()
+        words = " ".join(re.findall("[a-z0-9]+", name.lower()))
+        if label.split("-")[0] in _LATER and "exception" not in label and label != "gpl-cc-1.0":
+            kind = "(?: no)?(?: invariants)?" if label.startswith("gfdl") else ""
+            out += [(label, f"{words}{kind}(?: only)?"),
+                    (f"{label}-or-later", f"{words}{kind} or later")]
+        else:
+            out.append((label, words))
+    return out
+
+
 def rules() -> list[tuple[int, str, bytes, re.Pattern]]:
-    """(priority, label, keyword, regex) in order; lower priorities win."""
+    """(priority, label, keyword, regex) in order; lower priorities win.  A
+    regex with a group detects the group's words."""
     out = [(0, label, phrase.encode(), re.compile(rb"(?<= )" + phrase.encode() + rb"(?= )"))
            for phrase, label in BASE]
     out += [(20, label, kw.encode(), re.compile(rf"(?<= ){rx}(?= )".encode()))
             for label, kw, rx in CLAUSES]
+    tag = "spdx license identifier"
+    ids = _spdx()
+    # An expression's first identifier counts with the tag, the others alone.
+    before = "|".join([*sorted((rx for _, rx in ids), key=len, reverse=True),
+                       r"(?:documentref(?: [^ ]+){1,8}? )?licenseref(?: [^ ]+){1,8}?"])
+    for label, rx in ids:
+        out.append((40, label, tag.encode(),
+                    re.compile(rf"(?<= ){tag} {rx}(?: license)?(?= )".encode())))
+        out.append((40, label, tag.encode(), re.compile(
+            rf"(?<= ){tag} (?:(?:{before}) (?:and|or|with) )+({rx})(?= )".encode())))
+    out.append((40, "spdx-tag", b"spdx", re.compile(rf"(?<= ){tag}(?= )".encode())))
     for kind, lead, priority in FORMS:
         for label, kw, rx in NAMES:
+            if kind == "grant" and label == "public-domain":
+                continue  # its words are a grant already
             # A notice form also needs its own first word, the gate of most texts.
             out.append((priority, label, kw.encode(),
                         re.compile(rf"(?<= ){lead}{rx}(?: license)?(?= )".encode())))
-        if kind == "tag":
-            out.append((priority, "spdx-tag", b"spdx", re.compile(rb"(?<= )spdx license identifier(?= )")))
     return sorted(out, key=lambda r: r[0])
 
 
@@ -209,7 +273,7 @@ def scan_text(text: bytes) -> tuple[int, list[tuple[int, int, str, int]]]:
             continue
         for priority, label, _, rx in rs:
             for m in rx.finditer(norm):
-                (base if priority == 0 else found).append((priority, m.start(), m.end(), label))
+                (base if priority == 0 else found).append((priority, *m.span(rx.groups), label))
     if not found and not base:
         return len(words), []
     # Strongest first; what lies inside a kept detection of the same or a

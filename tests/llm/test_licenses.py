@@ -56,6 +56,21 @@ def test_contained_detections_are_suppressed():
     assert [(label, p) for _, _, label, p in found] == [("lgpl-2.1", 50), ("gpl", 0)]
 
 
+def test_spdx_identifiers():
+    labels = lambda tag: [d[2] for d in licenses.scan_text(
+        f"// SPDX-License-Identifier: {tag}\nint main".encode())[1] if d[3]]
+    for entry in licenses.SPDX.split():
+        name, _, label = entry.partition("=")
+        assert labels(name) == [label or name.lower()], name
+    assert labels("GPL-2.0-only") == ["gpl-2.0"] and labels("BSL-1.0") == ["boost-1.0"]
+    assert labels("(MIT OR Apache-2.0) AND ISC") == ["mit", "apache-2.0", "isc"]
+    assert labels("GPL-2.0-or-later WITH Classpath-exception-2.0") == [
+        "gpl-2.0-or-later", "classpath-exception-2.0"]
+    assert labels("GPL-2.0 OR MIT-0 OR LGPL-2.1-or-later") == ["gpl-2.0", "mit-0", "lgpl-2.1-or-later"]
+    assert labels("LicenseRef-my-own OR EUPL-1.2") == ["spdx-tag", "eupl-1.2"]
+    assert labels("nothing known") == ["spdx-tag"]
+
+
 def test_rules_are_ordered_and_many():
     rules = licenses.rules()
     assert len(rules) > 200 and [r[0] for r in rules] == sorted(r[0] for r in rules)
