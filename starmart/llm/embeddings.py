@@ -6,6 +6,11 @@ long prefix and sit close.  Every vector is compared with the ``window`` before
 it; verified pairs (cosine in double precision) of all passes are united into
 components.
 
+The number of passes follows from the table: a window covers less of a larger or
+denser one, so pilot passes count how many signs it takes until at most a window
+of vectors share them, and there are passes enough to meet a pair at the
+threshold with an expected recall of RECALL, whatever the size.
+
 Window borders: the order is cut into blocks of ``block`` places, and the last
 ``window`` rows of a block are repeated in the next, so the windows do not
 depend on the partitioning.  Only (pass, signs, id) is range-sorted; vectors
@@ -31,14 +36,20 @@ from starmart.llm._components import components
 from starmart.llm._util import cut
 from starmart.operators.keys import assign_key
 
+#: Passes at least; more follow from the table, see ``_passes``.
 PASSES = 16
 WINDOW = 64
+#: Expected share of the pairs at the threshold that a window meets.
+RECALL = 0.99
+#: Pilot passes, and lengths of sign prefixes, that show how dense the table is.
+_PILOT = 2
+_PREFIXES = range(2, 33, 2)
 BLOCK = 2048
 CHUNK = 1024
 _SEED = 20
 
 
-@lru_cache(maxsize=64)
+@lru_cache(maxsize=1024)
 def _directions(n_pass: int, dim: int) -> np.ndarray:
     return np.random.default_rng([_SEED, n_pass, dim]).standard_normal((dim, 64))
 
@@ -155,7 +166,49 @@ def _chunk_counts(cosine: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.9, passes: int = PASSES,
+def _prefix_shares(distinct: DataFrame, window: int) -> dict[int, float]:
+    """Share of the vectors, over pilot passes, whose first signs of each length
+    are those of more than ``window`` vectors."""
+    signs = distinct.select("id", "v").mapInArrow(
+        _sign_rows(_PILOT), "pass int, dim int, sig long, id long")
+    longest = max(_PREFIXES)
+    counted = (signs.groupBy("pass", "dim", F.shiftright("sig", 64 - longest).alias("head"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("bits"), F.shiftright("head", longest - k)
+                                        .alias("head")) for k in (0, *_PREFIXES)])).alias("x")
+    dense = (counted.select("pass", "dim", "n", each)
+             .groupBy("pass", "dim", "x.bits", "x.head").agg(F.sum("n").alias("n"))
+             .where((F.col("n") > window) | (F.col("bits") == 0))
+             .groupBy("bits").agg(F.sum("n").alias("n")))
+    found = {r.bits: r.n for r in dense.collect()}  # one row per length
+    total = found.get(0, 0)
+    return {k: found.get(k, 0) / total if total else 0.0 for k in _PREFIXES}
+
+
+def _passes(shares: dict[int, float], cosine: float, recall: float = RECALL) -> int:
+    """Passes after which a pair at ``cosine`` is expected to have met.
+
+    A pass meets the pair if its first signs agree up to a length that at most
+    ``window`` vectors share; one sign agrees with probability 1 - angle / pi.
+    The expectation is over the vectors.  Those that share even the longest
+    prefix with more than a window of others are copies of each other, which a
+    component unites through any of its many links; they are left out.
+    """
+    agree = 1 - np.arccos(min(1.0, max(-1.0, cosine))) / np.pi
+    lengths = np.array(sorted(shares))
+    alive = np.array([1.0, *[shares[k] for k in lengths]])
+    mass = alive[:-1] - alive[1:]  # vectors whose prefix of that length is rare first
+    if mass.sum() <= 0:
+        return PASSES
+    miss = 1 - agree ** lengths
+    missed = lambda n: (mass * miss ** n).sum() / mass.sum()
+    n = PASSES
+    while missed(n) > 1 - recall:
+        n += 1
+    return n
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = 0.9, passes: int | None = None,
                     window: int = WINDOW, id_col: str = "vec_id",
                     vector_col: str = "embedding") -> DataFrame:
     """One row per row of ``vectors``: vec_id, n_links, component_id.
@@ -164,7 +217,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, passes: int = PASSE
     link with nothing, nor do rows without an id or vectors of another length.
     Repeated rows are copies that link with each other; rows that repeat an id
     with other vectors are one node of the link graph.  Other columns are not
-    read; an empty table gives an empty result.
+    read; an empty table gives an empty result.  Without ``passes`` their number
+    follows from the table, so that the expected recall stays RECALL.
     """
     v = F.col("v")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -178,6 +232,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, passes: int = PASSE
                    .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
                    .select("id", "copies", "v", *hashed))
 
+    if passes is None:
+        passes = _passes(_prefix_shares(distinct, window), cosine)
     signs = distinct.select("id", "v").mapInArrow(
         _sign_rows(passes), "pass int, dim int, sig long, id long")
     places = assign_key(signs, ["pass", "dim", "sig", "id"], "pos")

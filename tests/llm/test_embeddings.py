@@ -85,6 +85,32 @@ def test_recall_of_borderline_links_on_the_table(spark):
     assert want.sum() >= 800 and found.sum() >= 0.98 * want.sum()
 
 
+def test_passes_follow_size_and_density(spark):
+    # Prefixes of a random table of n vectors are dense up to log2(n / window) signs.
+    shares = lambda n: {k: float(n / 2 ** k > 64) for k in range(2, 33, 2)}
+    counts = [embeddings._passes(shares(n), 0.9) for n in (2_000, 10 ** 5, 10 ** 6, 4 * 10 ** 6)]
+    assert counts == sorted(counts) and counts[0] == 16 and counts[2] > 32
+    assert embeddings._passes({k: 1.0 for k in range(2, 33, 2)}, 0.9) == 16
+
+
+def test_recall_in_a_hot_topic(spark):
+    """Vectors at a pairwise cosine of about 0.5, with planted pairs at 0.9 to 0.92,
+    before windows so small that 16 passes lose many."""
+    rng = np.random.default_rng(8)
+    n, dim, planted = 6000, 64, 400
+    topic = rng.standard_normal(dim) / np.sqrt(dim)
+    x = topic + rng.standard_normal((n, dim)) / np.sqrt(dim)
+    for k in range(planted):
+        v = x[k]
+        noise = rng.standard_normal(dim)
+        noise -= noise @ v / (v @ v) * v
+        x[n - 1 - k] = v + noise / np.linalg.norm(noise) * np.linalg.norm(v) * rng.uniform(0.43, 0.48)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)
+    n_links = lambda **kw: sum(r.n_links > 0 for r in embeddings.near_duplicates(
+        df, window=4, **kw).where(F.col("vec_id") < planted).collect())
+    assert n_links() >= 0.97 * planted > n_links(passes=16)
+
+
 def test_corner_tables(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 5)], SCHEMA)
     clash = df.withColumns({c: F.lit("x") for c in ("v", "id", "copies", "pos", "block", "n")})
