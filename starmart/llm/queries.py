@@ -6,9 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import (decontam, embeddings, html_text, langid, licenses, lines, mixing, repeats,
-                          secrets, simhash)
-from starmart.llm._util import table
+from starmart.config import scratch_path
+from starmart.llm import (decontam, divergence, embeddings, html_text, langid, licenses, lines, mixing,
+                          repeats, runs, secrets, simhash, token_file)
+from starmart.llm._util import WORD, table
+from starmart.sources.writers import delete_path
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,10 +77,46 @@ def op7_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=200)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of the periodic runs of every document.  Every tenth document (by
+    the CRC of its id) is made periodic from a word on first, as its contract says."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    d = docs.withColumns({"h": h, "words": F.when(h % 10 == 0, F.regexp_extract_all(
+        F.col("text"), F.lit(WORD), F.lit(0)))})
+    d = d.withColumns({"n": F.size("words"), "g": F.floor(F.col("h") / 10)}).withColumn(
+        "a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    d = d.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    copies = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    periodic = F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), F.flatten(F.array_repeat(
+        F.slice("words", F.col("a") + 1, F.col("p")), copies))), F.lit(1), F.col("n"))
+    text = F.when(F.col("a").isNotNull(), F.array_join(periodic, " ")).otherwise(F.col("text"))
+    return runs.digest(runs.periodic_runs(d.select("doc_id", text.alias("text"))))
+
+
+def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, read back from the
+    written shards (which are then deleted)."""
+    import public_tokenizers
+    path = scratch_path(spark, "tokens")
+    out = token_file.encode_and_index(table(spark, sf_dir, "documents"), path,
+                                      public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    delete_path(spark, path)
+    return out
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lang, source, part, item, value, rank: prices of every source against the
+    others of its language and its ten most raised terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_embedding_near_dedup, op3_license_scan, op4_simhash_near_dedup, op5_html_extraction, op6_language_id,
-    op7_repeat_removal, op8_mix_sources, op9_secret_scan, op10_benchmark_decontamination)}
+    op7_repeat_removal, op8_mix_sources, op9_secret_scan, op10_benchmark_decontamination,
+    op11_periodic_runs, op12_token_ids, op13_source_divergence)}
 ORACLE: dict[str, str] = {
     "op1_line_dedup": lines.oracle_sql(),
     "op8_mix_sources": mixing.ORACLE,
-    "op9_secret_scan": secrets.oracle_sql()}
+    "op9_secret_scan": secrets.oracle_sql(),
+    "op13_source_divergence": divergence.ORACLE}
