@@ -31,7 +31,9 @@ from __future__ import annotations
 import json
 import re
 import struct
+import sys
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -189,7 +191,8 @@ class Shard:
 _WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-_PLAIN = re.compile(rb"([A-Za-z]+)([!-/:-@\[-`{-~]*)")
+#: ASCII and Latin-1 letters (UTF-8), then ASCII marks.
+_PLAIN = re.compile(rb"((?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+)([!-/:-@\[-`{-~]*)")
 
 
 class _Encoder:
@@ -197,8 +200,10 @@ class _Encoder:
 
     A tokenizer that drops white space, folds case and cuts words from
     punctuation gives a word the same ids wherever it stands.  For such files
-    the ids of words are remembered, and a word of ASCII letters goes straight to
-    the library's BPE model; all others pass the library as a whole.
+    the ids of words are remembered, and a word of Latin letters (which its
+    normalizers only fold) goes straight to the library's BPE model; all others
+    pass the library as a whole.  When the memory is full, the words of the
+    batch at hand stay.
     """
 
     def __init__(self, path: str):
@@ -216,10 +221,17 @@ class _Encoder:
             and not cutters[1]["add_prefix_space"] and not described.get("post_processor")
             and described["model"]["type"] == "BPE")
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        if self.by_word:
+            from tokenizers.pre_tokenizers import ByteLevel
+            level = ByteLevel(add_prefix_space=False, use_regex=False)
+            self._level = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
         self._known: dict[bytes, bytes] = {}
 
     def as_bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
+        out = array("H" if self.width == 2 else "I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def _whole(self, texts: list[bytes]) -> list[bytes]:
         return [self.as_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(
@@ -228,30 +240,39 @@ class _Encoder:
     def _learn(self, words: set[bytes]) -> None:
         known, model, plain, whole = self._known, self.tokenizer.model, [], set()
         for word in words:
+            if word.isalpha():  # ASCII
+                plain.append((word, word.lower().decode(), b""))
+                continue
             m = _PLAIN.fullmatch(word)
             if m is None or m[2][:1] == b"'":
                 whole.add(word)
             else:
-                plain.append((word, m[1].lower(), m[2]))
+                plain.append((word, m[1].decode().lower(), m[2]))
                 if m[2] and m[2] not in known:
                     whole.add(m[2])
         known.update(zip(whole, self._whole(list(whole))))
+        letters: dict[str, bytes] = {}
         for word, low, mark in plain:
-            ids = known.get(low)
+            ids = letters.get(low)
             if ids is None:
-                ids = known[low] = self.as_bytes([t.id for t in model.tokenize(low.decode())])
+                as_read = low if low.isascii() else low.translate(self._level)
+                ids = letters[low] = self.as_bytes([t.id for t in model.tokenize(as_read)])
             known[word] = ids + known[mark] if mark else ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian bytes."""
         if not self.by_word:
             return self._whole(texts)
-        words = [t.split() for t in texts]  # at ASCII white space
+        # Split at ASCII white space.  Folding A-Z first changes nothing but where a
+        # mark could join a letter, or a special token be spelled.
+        words = [(t if b"\xCC" in t or b"\xCD" in t or b"<|" in t else t.lower()).split()
+                 for t in texts]
         found = [list(map(self._known.get, ws)) for ws in words]
         gaps = [k for k, ids in enumerate(found) if None in ids]
         new = {w for k in gaps for w, ids in zip(words[k], found[k]) if ids is None}
         if len(self._known) + len(new) > CACHE_WORDS:
-            self._known.clear()
+            self._known = {w: ids for ws, found_ in zip(words, found)
+                           for w, ids in zip(ws, found_) if ids is not None}
         self._learn(new)
         for k in gaps:
             found[k] = [self._known[w] if ids is None else ids

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator():
     numbers = [n[2:].split("_")[0] for n in E.queries() if n.startswith("op")]
-    assert sorted(map(int, numbers)) == list(range(1, 11))
+    assert sorted(map(int, numbers)) == list(range(1, 14))
     assert "pipeline" in E.queries() and set(ORACLE) <= set(QUERIES) <= set(E.queries())
 
 
@@ -33,6 +33,9 @@ COLUMNS = {
     "op7_repeat_removal": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op8_mix_sources": ["doc_id", "size", "source_size", "target", "taken"],
     "op9_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                           "runs_sha256", "collapsed_sha256"],
+    "op12_token_ids": ["doc_id", "start", "n_tokens", "ids_crc32"],
 }
 
 
