@@ -268,18 +268,28 @@ class _Encoder:
         words = [(t if b"\xCC" in t or b"\xCD" in t or b"<|" in t else t.lower()).split()
                  for t in texts]
         found = [list(map(self._known.get, ws)) for ws in words]
-        gaps = [k for k, ids in enumerate(found) if None in ids]
-        new = {w for k in gaps for w, ids in zip(words[k], found[k]) if ids is None}
+        gaps = [(k, i) for k, ids in enumerate(found) for i in _nones(ids)]
+        new = {words[k][i] for k, i in gaps}
         if len(self._known) + len(new) > CACHE_WORDS:
             self._known = {w: ids for ws, found_ in zip(words, found)
                            for w, ids in zip(ws, found_) if ids is not None}
         self._learn(new)
-        for k in gaps:
-            found[k] = [self._known[w] if ids is None else ids
-                        for w, ids in zip(words[k], found[k])]
+        for k, i in gaps:
+            found[k][i] = self._known[words[k][i]]
         return [b"".join(ids) for ids in found]
 
 
+def _nones(values: list) -> list[int]:
+    """Places of None."""
+    out, i = [], -1
+    try:
+        while True:
+            i = values.index(None, i + 1)
+            out.append(i)
+    except ValueError:
+        return out
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
