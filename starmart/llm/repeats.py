@@ -283,7 +283,8 @@ def _resolve(length: int):
 
 
 def _by_hash(open_: DataFrame, length: int) -> DataFrame:
-    """Runs (c1, c2, s, e) of contexts too many to gather, by counting hashes."""
+    """Runs (c1, c2, runs) of contexts too many to gather, by counting hashes: one
+    row per context, its consecutive repeated starts folded to runs."""
     each = open_.select("h", "c1", "c2", "at", "context", F.explode(F.sequence(
         F.lit(0), F.length("context") - length)).alias("s"))
     string = F.substring("context", F.col("s") + 1, F.lit(length))
@@ -291,7 +292,13 @@ def _by_hash(open_: DataFrame, length: int) -> DataFrame:
                        F.xxhash64(string).alias("x"), F.xxhash64(F.lit(1), string).alias("y"))
     keys = ["h", "back", "x", "y"]
     again = each.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return each.join(again, keys, "left_semi").select("c1", "c2", "s", F.col("s").alias("e"))
+    # At most a context's length of starts in an array.
+    starts = (each.join(again, keys, "left_semi").groupBy("c1", "c2")
+              .agg(F.array_sort(F.collect_set("s")).alias("starts")))
+    edge = lambda step: F.filter("starts", lambda s: ~F.array_contains(
+        F.col("starts"), s + step))
+    return starts.select("c1", "c2", F.arrays_zip(edge(-1).alias("s"), edge(1).alias("e"))
+                         .cast("array<struct<s:int,e:int>>").alias("runs"))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -367,18 +374,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         gathered = lookup_join(different, frequent, "h", "left_anti", stage=True)
         open_ = lookup_join(different, frequent, "h", "left_semi", stage=True)
         # A context that stands twice repeats as a whole.
-        runs = _by_hash(open_, length).union(open_.where("n > 1").select(
-            "c1", "c2", F.lit(0), F.length("context") - length))
+        whole = F.struct(F.lit(0).alias("s"), (F.length("context") - length).alias("e"))
+        runs = (_by_hash(open_, length).join(open_.where("n > 1").select("c1", "c2"),
+                                             ["c1", "c2"], "left_anti")
+                .union(open_.where("n > 1").select("c1", "c2", F.array(whole))))
     found = (gathered.repartition("h").sortWithinPartitions("h")
              .select("h", "c1", "c2", "n", "at", "context")
-             .mapInArrow(_resolve(length), "c1 long, c2 long, s int, e int"))
+             .mapInArrow(_resolve(length), "c1 long, c2 long, s int, e int")
+             .groupBy("c1", "c2").agg(F.collect_list(F.struct("s", "e")).alias("runs")))
+    # One row per context, so the join gives one row per place.
     runs = cut(found if runs is None else found.union(runs))
     runs = runs.withColumnsRenamed({"c1": "_c1", "c2": "_c2"})
     spans = (seen.select("c1", "c2", "t1", "t2", "lo")
              .join(runs, (F.col("c1") == F.col("_c1")) & (F.col("c2") == F.col("_c2")))
-             .groupBy("t1", "t2").agg(F.collect_list(F.struct(
-                 (F.col("lo") + F.col("s")).alias("start"),
-                 (F.col("lo") + F.col("e") + length).alias("end"))).alias("spans")))
+             .groupBy("t1", "t2").agg(F.flatten(F.collect_list(F.transform("runs", lambda r: F.struct(
+                 (F.col("lo") + r["s"]).alias("start"),
+                 (F.col("lo") + r["e"] + length).alias("end"))))).alias("spans")))
     out = cut(spans)
     delete_path(spark, path)
     return out

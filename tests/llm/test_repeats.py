@@ -68,6 +68,33 @@ def test_frequent_anchors_go_by_hashes(spark, monkeypatch, most):
     check(spark, corpus(3), 30, 8)
 
 
+def test_runs_of_hashes_are_folded(spark):
+    """One row per context, with the same runs as the gathered contexts give."""
+    import pyarrow as pa
+    rng = random.Random(9)
+    base = [rng.choice(b"abcdef") for _ in range(18)]
+    contexts = set()
+    for _ in range(60):
+        c = list(base)
+        for _ in range(rng.randint(1, 2)):
+            c[rng.randrange(18)] = rng.choice(b"xyz")
+        contexts.add(bytes(c[:rng.randint(12, 18)]))
+    rows = [(7, k, 0, 1, 2, c) for k, c in enumerate(sorted(contexts))]
+    names = ["h", "c1", "c2", "n", "at", "context"]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows]) for i in range(6)],
+                                       names=names)
+    gathered = {}
+    for b in repeats._resolve(12)([batch]):
+        for x in b.to_pylist():
+            gathered.setdefault(x["c1"], []).append((x["s"], x["e"]))
+    got = repeats._by_hash(spark.createDataFrame(
+        [(*r[:5], bytearray(r[5])) for r in rows],
+        "h long, c1 long, c2 long, n long, at int, context binary"), 12).collect()
+    assert len({r.c1 for r in got}) == len(got) == len(gathered) > 5
+    assert {r.c1: [tuple(x) for x in r.runs] for r in got} == {
+        k: sorted(v) for k, v in gathered.items()}
+
+
 def test_groups_merged_in_parts():
     """Groups are never cut; flushing between them changes nothing."""
     import pyarrow as pa
