@@ -79,7 +79,7 @@ def test_runs_of_hashes_are_folded(spark):
         for _ in range(rng.randint(1, 2)):
             c[rng.randrange(18)] = rng.choice(b"xyz")
         contexts.add(bytes(c[:rng.randint(12, 18)]))
-    rows = [(7, k, 0, 1, 2, c) for k, c in enumerate(sorted(contexts))]
+    rows = [(7, k, 0, 1, 6, c) for k, c in enumerate(sorted(contexts))]
     names = ["h", "c1", "c2", "n", "at", "context"]
     batch = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows]) for i in range(6)],
                                        names=names)
