@@ -368,4 +368,50 @@ LEFT JOIN country_dim c ON p.country_residence_code = c.country_code
 GROUP BY 1"""),
     "an_arrivals_by_state": _by_state(True),
     "an_arrivals_by_state_year": _by_state(False),
+    "join_asof_reading": with_(["clean_arrivals", "clean_temperatures", "mnames"], f"""
+SELECT record_id, arrdate, country_code, country_name, reading_date, reading_city, temperature
+FROM (SELECT a.cicid AS record_id, {sas_date('a.arrdate')} AS arrdate, a.i94res AS country_code,
+             m.country_name
+      FROM clean_arrivals a LEFT JOIN mnames m ON a.i94res = m.country_code) e
+ASOF LEFT JOIN (
+  SELECT {title('Country')} AS country, dt AS reading_date, City AS reading_city,
+         AverageTemperature AS temperature
+  FROM clean_temperatures
+  QUALIFY row_number() OVER (PARTITION BY {title('Country')}, dt
+    ORDER BY City DESC, Country DESC, l_orderkey DESC, l_linenumber DESC) = 1) r
+ON e.country_name = r.country AND e.arrdate >= r.reading_date"""),
+    "star_incremental": with_(["clean_arrivals", "mnames", "avgs"], f"""
+SELECT CASE WHEN ld = 1 THEN DATE '2016-04-01' ELSE DATE '2016-04-02' END AS load_day,
+       cicid AS record_id, i94addr AS state_code, "count", e.day AS arrdate, visa_type_key,
+       v.visatype, calendar_id, CAST(weekofyear(e.day) AS INTEGER) AS arrival_week,
+       m.country_name, a.average_temperature
+FROM (SELECT *, CASE WHEN coalesce(i94mon <= 6, true) THEN 1 ELSE 2 END AS ld,
+             {sas_date('arrdate')} AS day FROM clean_arrivals) e
+LEFT JOIN (SELECT visatype, row_number() OVER (ORDER BY ld, visatype NULLS FIRST) - 1 AS visa_type_key
+           FROM (SELECT visatype, min(CASE WHEN coalesce(i94mon <= 6, true) THEN 1 ELSE 2 END) AS ld
+                 FROM clean_arrivals GROUP BY visatype)) v ON e.visatype = v.visatype
+LEFT JOIN (SELECT day, row_number() OVER (ORDER BY ld, day NULLS FIRST) - 1 AS calendar_id
+           FROM (SELECT {sas_date('arrdate')} AS day,
+                        min(CASE WHEN coalesce(i94mon <= 6, true) THEN 1 ELSE 2 END) AS ld
+                 FROM clean_arrivals GROUP BY 1)) c ON e.day IS NOT DISTINCT FROM c.day
+LEFT JOIN mnames m ON e.i94res = m.country_code
+LEFT JOIN avgs a ON m.country_name = a.country_name"""),
+    "stream_dedup_late": """
+WITH e AS (SELECT event_id, ts,
+                  least(2, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 8) AS d FROM events),
+l AS (SELECT event_id, ts, unnest(list_filter(
+        [d + if(event_id % 17 = 0, 1, 0), if(event_id % 10 = 0, d + 1, NULL),
+         if(event_id % 13 = 0, d + if(event_id % 17 = 0, 1, 0), NULL)], lambda x: x IS NOT NULL)) AS d
+      FROM e),
+m AS (SELECT d, max(max(ts)) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+               - INTERVAL 2 DAY AS mark FROM l GROUP BY d),
+o AS (SELECT event_id, ts, coalesce(ts <= mark, false) AS late FROM l JOIN m USING (d)),
+c AS (SELECT event_id, ts, late, count(*) AS n FROM o GROUP BY ALL)
+SELECT event_id, ts, 'kept' AS outcome, CAST(1 AS BIGINT) AS n FROM c WHERE NOT late
+UNION ALL SELECT event_id, ts, 'repeated', n - 1 FROM c WHERE NOT late AND n > 1
+UNION ALL SELECT event_id, ts, 'late', n FROM c WHERE late""",
+    "stream_weekly_upsert": with_(["clean_arrivals"], f"""
+SELECT CAST(date_trunc('week', day) AS DATE) AS week, i94addr AS state_code, count(*) AS arrivals
+FROM (SELECT {sas_date('arrdate')} AS day, i94addr FROM clean_arrivals)
+WHERE day IS NOT NULL GROUP BY ALL"""),
 }

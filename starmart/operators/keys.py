@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.operators.clean import q
+
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
 
@@ -47,3 +49,25 @@ def assign_key(df: DataFrame, key: Sequence[str] | str, id_col: str = "id",
     out = located.join(F.broadcast(offsets), "_part", "inner")
     return out.select(*[F.col(f"`{c}`") for c in df.columns],
                       (F.col("_offset") + F.col("_pos")).alias(id_col))
+
+
+def extend_key(known: DataFrame | None, members: DataFrame, key: Sequence[str] | str,
+               id_col: str | None = "id", num_partitions: int | None = None) -> DataFrame:
+    """The rows of ``members`` (distinct ``key``) that the key map ``known`` lacks, with
+    ids that follow on from its greatest one, in ``key`` order; NULL is a key.
+
+    Ids of ``known`` never change.  Without a map (None) ids count from 0; without an
+    ``id_col`` the new members are returned as they are.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    base = 0
+    if known is not None:
+        have = known.select(*[q(k).alias(f"_{i}") for i, k in enumerate(keys)])
+        same = [q(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)]
+        members = members.join(have, same, "left_anti")
+        if id_col:
+            base = known.agg(F.coalesce(F.max(q(id_col)) + 1, F.lit(0))).first()[0]
+    if not id_col:
+        return members
+    out = assign_key(members, keys, id_col, num_partitions)
+    return out.withColumn(id_col, F.col(f"`{id_col}`") + F.lit(base))

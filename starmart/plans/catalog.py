@@ -19,17 +19,21 @@ from starmart.functions.dates import calendar_columns, sas_date
 from starmart.functions.text import title_case
 from starmart.operators import clean as C
 from starmart.operators import profile as P
+from starmart.operators.asof import asof_join
 from starmart.operators.joins import lookup_join, orphans
 from starmart.operators.keys import assign_key
 from starmart.plans import analytics as A
 from starmart.plans import dims as M
 from starmart.plans.fact import arrivals_fact, typed_arrivals
+from starmart.plans.incremental import update_star
 from starmart.plans.pipeline import read_arrivals, register_star, run_pipeline
 from starmart.plans.quality import referential_checks, row_count_checks
 from starmart.sources import bindings as B
 from starmart.sources.readers import PipelineConfig, read_csv_table, read_events, read_table
 from starmart.sources.writers import write_table
+from starmart.streaming.dedup import ingest_events, outcomes
 from starmart.streaming.ingest import ingest_arrivals
+from starmart.streaming.windows import stream_weekly_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -300,6 +304,21 @@ def join_left_anti_orphans(spark, d):
     return orphans(ev, m, "i94res", "code")
 
 
+def join_asof_reading(spark, d):
+    """Each arrival with the last reading of its country of residence at or before
+    its date (of several on one day, the last by city, spelling and row)."""
+    names = M.mapping_names(B.country_mapping(spark, d))
+    events = lookup_join(
+        typed_arrivals(_clean_arrivals(spark, d)).select(
+            "record_id", "arrdate", F.col("country_residence_code").alias("country_code")),
+        names, "country_code", "left")
+    readings = _clean_temperatures(spark, d).withColumn("_country", title_case("Country"))
+    values = {"dt": "reading_date", "City": "reading_city", "AverageTemperature": "temperature"}
+    readings = readings.withColumns({new: F.col(old) for old, new in values.items()})
+    return asof_join(events, readings, [("country_name", "_country")], "arrdate", "dt",
+                     list(values.values()), ["City", "Country", *B.TEMPERATURE_TIEBREAK])
+
+
 # ---------------------------------------------------------------- the star
 
 def dim_visa_type(spark, d):
@@ -334,6 +353,56 @@ def stream_ingest_arrivals(spark, d):
     return read_table(spark, table)
 
 
+def stream_dedup_late(spark, d):
+    """Events that land in four drops, some late, some repeated: what became of each.
+    Drops follow the days of the events; every 17th event lands one drop later, every
+    10th lands in the next drop too, every 13th twice in its own."""
+    events = B._read(spark, d, "events")
+    landing, table = scratch_path(spark, "landing"), scratch_path(spark, "events_table")
+    k = F.col("event_id")
+    drop = F.least(F.lit(2), F.floor(F.datediff("ts", F.lit("2024-01-01")) / 8).cast("int"))
+    own = drop + F.when(k % 17 == 0, 1).otherwise(0)
+    lands = F.array_compact(F.array(own, F.when(k % 10 == 0, drop + 1), F.when(k % 13 == 0, own)))
+    landed = events.withColumn("drop", F.explode(lands))
+    for i in range(4):
+        (landed.where(F.col("drop") == i).select(*events.columns)
+         .write.mode("append").parquet(landing))
+        ingest_events(spark, landing, table, events.schema, ["event_id"], "ts", "2 days")
+    return outcomes(spark, table, ["event_id"], "ts")
+
+
+def stream_weekly_upsert(spark, d):
+    """Weekly arrivals per state, kept up to date over three drops of events."""
+    arrivals = _arrivals(spark, d)
+    landing, table = scratch_path(spark, "landing"), scratch_path(spark, "weekly_arrivals")
+    year = F.coalesce(F.col("i94yr"), F.lit(0))
+    for drop in (year < 1995, (year >= 1995) & (year < 1997), year >= 1997):
+        C.clean_arrivals(arrivals.where(drop)).write.mode("append").parquet(landing)
+        schema = C.clean_arrivals(arrivals).schema
+        stream_weekly_arrivals(spark, landing, table, schema).awaitTermination()
+    return read_table(spark, table).select("week", "state_code", "arrivals")
+
+
+def star_incremental(spark, d):
+    """The star from two daily loads, the second one run again: the fact with the
+    ids and members of its dimensions."""
+    arrivals, output = _arrivals(spark, d), scratch_path(spark, "star")
+    temperatures, mapping = B.temperatures(spark, d), B.country_mapping(spark, d)
+    first = F.coalesce(F.col("i94mon") <= 6, F.lit(True))
+    for day, load in (("2016-04-01", first), ("2016-04-02", ~first), ("2016-04-02", ~first)):
+        star = update_star(spark, output, day, arrivals.where(load), temperatures, mapping,
+                           temperature_order=B.TEMPERATURE_TIEBREAK)
+    days = star["immigration_calendar"].select(
+        F.col("arrdate").alias("_day"), F.col("id").alias("calendar_id"), "arrival_week")
+    fact = star["immigration_fact"]
+    return (fact.join(star["visatype"], "visa_type_key", "left")
+            .join(days, fact["arrdate"].eqNullSafe(F.col("_day")), "left")
+            .join(star["country"], F.col("country_residence_code") == F.col("country_code"), "left")
+            .select("load_day", "record_id", "state_code", "count", "arrdate", "visa_type_key",
+                    "visatype", "calendar_id", "arrival_week", "country_name",
+                    "average_temperature"))
+
+
 def star_from_files(spark, d):
     """M6-M8 end to end from files, as the original job ran: the four inputs are
     landed in their source formats, read back and turned into the star.  Returns
@@ -466,4 +535,6 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in [
     ("qc_referential", qc_referential), ("an_arrivals_by_climate", an_arrivals_by_climate),
     ("an_arrivals_by_state", an_arrivals_by_state),
     ("an_arrivals_by_state_year", an_arrivals_by_state_year),
+    ("join_asof_reading", join_asof_reading), ("star_incremental", star_incremental),
+    ("stream_dedup_late", stream_dedup_late), ("stream_weekly_upsert", stream_weekly_upsert),
 ]}
