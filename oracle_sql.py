@@ -414,4 +414,43 @@ UNION ALL SELECT event_id, ts, 'late', n FROM c WHERE late""",
 SELECT CAST(date_trunc('week', day) AS DATE) AS week, i94addr AS state_code, count(*) AS arrivals
 FROM (SELECT {sas_date('arrdate')} AS day, i94addr FROM clean_arrivals)
 WHERE day IS NOT NULL GROUP BY ALL"""),
+    "src_csv_inferred": with_(["mapping"], "SELECT * FROM mapping"),
+    "join_interval_transit": """
+WITH t AS (SELECT l_orderkey, l_linenumber, o_custkey AS owner, CAST(l_shipdate AS DATE) AS shipped,
+                  CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) AS arrived
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS opened,
+             CAST(o_orderdate AS DATE) + CASE WHEN o_orderkey % 500 = 0 THEN 1095 ELSE 30 END AS closed
+      FROM orders)
+SELECT l_orderkey, l_linenumber, o_orderkey, o_custkey, shipped, arrived, opened, closed
+FROM t JOIN o ON owner = o_custkey AND shipped <= closed AND opened <= arrived""",
+    "an_presence_by_day": with_(["clean_arrivals"], f"""
+, s AS (SELECT i94addr AS state_code, {sas_date('arrdate')} AS day,
+               {sas_date('arrdate')} + CAST(coalesce(CAST(cicid AS INTEGER) % 45, 0) AS INTEGER) + 1
+                 AS off FROM clean_arrivals),
+c AS (SELECT state_code, day, 1 AS change FROM s WHERE day IS NOT NULL
+      UNION ALL SELECT state_code, off, -1 FROM s WHERE day IS NOT NULL),
+e AS (SELECT state_code, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day,
+             0 AS change FROM c GROUP BY state_code),
+g AS (SELECT state_code, day, sum(change) AS change FROM (SELECT * FROM c UNION ALL SELECT * FROM e)
+      GROUP BY ALL)
+SELECT state_code, day, CAST(sum(change) OVER (PARTITION BY state_code ORDER BY day) AS BIGINT) AS present
+FROM g"""),
+    "an_arrivals_rollup": with_(["clean_arrivals"], f"""
+, f AS (SELECT i94addr AS state_code, visatype,
+               CAST(date_trunc('month', {sas_date('arrdate')}) AS DATE) AS month, i94res
+        FROM clean_arrivals)
+SELECT state_code, visatype, month, CAST(GROUPING(state_code, visatype, month) AS BIGINT) AS grouping,
+       count(*) AS n_events, count(DISTINCT i94res) AS n_countries
+FROM f GROUP BY GROUPING SETS ((state_code, visatype, month), (state_code, visatype), (state_code), ())"""),
+    "dim_demographics_history": with_(["clean_demographics"], """
+, a AS (SELECT "City", "State", "State Code" AS state_code, "Race", "Foreign-born" AS foreign_born,
+               "Total Population" AS total_population FROM clean_demographics WHERE c_custkey % 13 <> 0),
+b AS (SELECT "City", "State", "State Code" AS state_code, "Race",
+             "Foreign-born" + CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS foreign_born,
+             "Total Population" AS total_population FROM clean_demographics WHERE c_custkey % 11 <> 0)
+SELECT *, DATE '2016-04-01' AS valid_from, CAST(NULL AS DATE) AS valid_to
+FROM (SELECT * FROM a INTERSECT SELECT * FROM b)
+UNION ALL SELECT *, DATE '2016-04-01', DATE '2016-05-01' FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
+UNION ALL SELECT *, DATE '2016-05-01', NULL FROM (SELECT * FROM b EXCEPT SELECT * FROM a)"""),
 }

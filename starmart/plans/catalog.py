@@ -20,13 +20,17 @@ from starmart.functions.text import title_case
 from starmart.operators import clean as C
 from starmart.operators import profile as P
 from starmart.operators.asof import asof_join
+from starmart.operators.intervals import interval_join
 from starmart.operators.joins import lookup_join, orphans
 from starmart.operators.keys import assign_key
+from starmart.operators.rollup import distinct_rollup
 from starmart.plans import analytics as A
 from starmart.plans import dims as M
 from starmart.plans.fact import arrivals_fact, typed_arrivals
+from starmart.plans.history import update_history
 from starmart.plans.incremental import update_star
 from starmart.plans.pipeline import read_arrivals, register_star, run_pipeline
+from starmart.plans.presence import presence_by_day
 from starmart.plans.quality import referential_checks, row_count_checks
 from starmart.sources import bindings as B
 from starmart.sources.readers import PipelineConfig, read_csv_table, read_events, read_table
@@ -57,11 +61,18 @@ def _clean_demographics(spark, d):
 
 
 def _event_keys(spark, d):
-    """The star's key columns of the cleaned events with their row counts, from
-    one scan: as many rows as there are combinations."""
+    """The star's key columns of the cleaned events with their row counts and
+    arrivals, from one scan: as many rows as there are combinations."""
     events = _clean_arrivals(spark, d)
     return (events.groupBy("visatype", "i94res", sas_date("arrdate").alias("arrdate"))
-            .agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("arrivals"))
+            .checkpoint(eager=True))
+
+
+def _visa_keys(keys, visa):
+    """``keys`` with the visa key in place of the visa type."""
+    v = visa.select(F.col("visatype").alias("_vt"), "visa_type_key")
+    return lookup_join(keys, v, keys["visatype"] == v["_vt"], "left").drop("_vt", "visatype")
 
 
 def _visa(spark, d):
@@ -104,6 +115,13 @@ def src_csv_mapping(spark, d):
     return read_csv_table(spark, path, schemas.COUNTRY_MAPPING)
 
 
+def src_csv_inferred(spark, d):
+    """The country mapping as CSV, its types inferred from the file."""
+    path = scratch_path(spark, "mapping_csv")
+    B.country_mapping(spark, d).write.option("header", True).csv(path)
+    return read_csv_table(spark, path, infer_schema=True)
+
+
 def src_csv_semicolon(spark, d):
     """S3: demographics as ';'-separated CSV."""
     path = scratch_path(spark, "demographics_csv")
@@ -383,6 +401,63 @@ def stream_weekly_upsert(spark, d):
     return read_table(spark, table).select("week", "state_code", "arrivals")
 
 
+def join_interval_transit(spark, d):
+    """Line items in transit (a day per unit after shipping) while an order of the same
+    customer was open (30 days; every 500th for three years)."""
+    orders = B._read(spark, d, "orders")
+    lines = B._read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate",
+                                                 "l_quantity")
+    owners = orders.select(F.col("o_orderkey").alias("_order"), F.col("o_custkey").alias("owner"))
+    ship = F.to_date("l_shipdate")
+    transit = lines.join(owners, F.col("l_orderkey") == F.col("_order")).select(
+        "l_orderkey", "l_linenumber", "owner", ship.alias("shipped"),
+        F.date_add(ship, F.col("l_quantity").cast("int")).alias("arrived"))
+    day = F.to_date("o_orderdate")
+    held = F.when(F.col("o_orderkey") % 500 == 0, 1095).otherwise(30)
+    open_ = orders.select("o_orderkey", "o_custkey", day.alias("opened"),
+                          F.date_add(day, held).alias("closed"))
+    met = interval_join(transit, open_, [("owner", "o_custkey")], ("shipped", "arrived"),
+                        ("opened", "closed"))
+    return met.select("l_orderkey", "l_linenumber", "o_orderkey", "o_custkey", "shipped", "arrived",
+                      "opened", "closed")
+
+
+def an_presence_by_day(spark, d):
+    """People present per state and day, each from the arrival on for a number of days
+    that follows from the record's id."""
+    events = typed_arrivals(_clean_arrivals(spark, d))
+    stays = events.select("state_code", "arrdate", F.date_add(
+        "arrdate", F.coalesce(F.col("record_id").cast("int") % 45, F.lit(0))).alias("leaves"))
+    return presence_by_day(stays, "state_code", "arrdate", "leaves")
+
+
+def an_arrivals_rollup(spark, d):
+    """Arrivals and countries of residence by state, visa type and month, with totals
+    of the months, of the visa types, and of everything."""
+    events = typed_arrivals(_clean_arrivals(spark, d)).select(
+        "state_code", "visatype", F.trunc("arrdate", "month").alias("month"),
+        "country_residence_code")
+    sets = [["state_code", "visatype", "month"], ["state_code", "visatype"], ["state_code"], []]
+    return distinct_rollup(events, sets, "country_residence_code", "n_countries", "n_events")
+
+
+def dim_demographics_history(spark, d):
+    """History of the demographics over two snapshots, the second one applied twice:
+    it lacks some rows, brings others, and counts more foreign-born in some."""
+    demo = _clean_demographics(spark, d).select(*schemas.DEMOGRAPHICS_KEYS, "Foreign-born",
+                                                "Total Population", "c_custkey")
+    rows, k = C.rename_columns(demo, {c: n for c, n in schemas.DEMOGRAPHICS_RENAMES.items()
+                                      if c in demo.columns}), F.col("c_custkey")
+    path = scratch_path(spark, "demographics_history")
+    first = rows.where(k % 13 != 0).drop("c_custkey")
+    second = rows.where(k % 11 != 0).withColumn("foreign_born", F.when(
+        k % 7 == 0, F.col("foreign_born") + 1).otherwise(F.col("foreign_born"))).drop("c_custkey")
+    keys = ["City", "State", "state_code", "Race"]
+    for day, snapshot in (("2016-04-01", first), ("2016-05-01", second), ("2016-05-01", second)):
+        history = update_history(spark, path, snapshot, keys, day)
+    return history
+
+
 def star_incremental(spark, d):
     """The star from two daily loads, the second one run again: the fact with the
     ids and members of its dimensions."""
@@ -440,21 +515,23 @@ def star_from_files(spark, d):
 
 
 def sql_star_view(spark, d):
-    """Ad-hoc SQL with aliases and a qualified star over registered views.
+    """Ad-hoc SQL with aliases and a qualified star over registered views:
+    the dimensions and the events counted by their keys, from one scan of them.
 
     The views exist while the statement is analysed; its result does not need
     them.
     """
-    events = _clean_arrivals(spark, d)
-    visa = M.visa_type_dim(events)
-    tables = {"immigration_fact": arrivals_fact(events, visa), "visatype": visa,
-              "country": _country(spark, d, events)}
+    keys = _event_keys(spark, d)
+    visa = M.visa_type_dim(keys)
+    counts = (_visa_keys(keys, visa).groupBy("visa_type_key", "i94res")
+              .agg(F.sum("n").alias("n"), F.sum("arrivals").alias("arrivals")))
+    tables = {"arrival_counts": counts, "visatype": visa, "country": _country(spark, d, keys)}
     v = register_star(tables, f"star_{uuid.uuid4().hex[:12]}_")
     out = spark.sql(f"""
-        SELECT c.*, t.visatype, count(*) AS n_events, sum(f.`count`) AS arrivals
-        FROM {v['immigration_fact']} f
+        SELECT c.*, t.visatype, sum(f.n) AS n_events, sum(f.arrivals) AS arrivals
+        FROM {v['arrival_counts']} f
         LEFT JOIN {v['visatype']} t ON f.visa_type_key = t.visa_type_key
-        LEFT JOIN {v['country']} c ON f.country_residence_code = c.country_code
+        LEFT JOIN {v['country']} c ON f.i94res = c.country_code
         GROUP BY c.country_code, c.country_name, c.average_temperature, t.visatype""")
     for view in v.values():
         spark.catalog.dropTempView(view)
@@ -481,13 +558,15 @@ def qc_row_counts(spark, d):
 
 
 def qc_referential(spark, d):
-    events = _clean_arrivals(spark, d)
-    visa = M.visa_type_dim(events)
-    return referential_checks(arrivals_fact(events, visa), {
-        "fact_country": ("country_residence_code", _country(spark, d, events), "country_code"),
+    """Q2 from one scan of the events: their key columns, counted, stand for the fact."""
+    keys = _event_keys(spark, d)
+    visa = M.visa_type_dim(keys)
+    days = M.calendar_of(keys.select("arrdate"))
+    return referential_checks(_visa_keys(keys, visa), {
+        "fact_country": ("i94res", _country(spark, d, keys), "country_code"),
         "fact_visatype": ("visa_type_key", visa, "visa_type_key"),
-        "fact_calendar": ("arrdate", M.calendar_dim(events), "arrdate"),
-    })
+        "fact_calendar": ("arrdate", days, "arrdate"),
+    }, weight="n")
 
 
 def an_arrivals_by_climate(spark, d):
@@ -536,5 +615,8 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in [
     ("an_arrivals_by_state", an_arrivals_by_state),
     ("an_arrivals_by_state_year", an_arrivals_by_state_year),
     ("join_asof_reading", join_asof_reading), ("star_incremental", star_incremental),
+    ("src_csv_inferred", src_csv_inferred), ("join_interval_transit", join_interval_transit),
+    ("an_presence_by_day", an_presence_by_day), ("an_arrivals_rollup", an_arrivals_rollup),
+    ("dim_demographics_history", dim_demographics_history),
     ("stream_dedup_late", stream_dedup_late), ("stream_weekly_upsert", stream_weekly_upsert),
 ]}

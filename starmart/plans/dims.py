@@ -60,7 +60,7 @@ def mapping_names(mapping: DataFrame, aliases: Mapping[str, str] | None = None)
     """Country codes as doubles (the event type) and title-cased names.
 
     ``aliases`` maps a title-cased mapping name to the name the temperature
-    data uses (e.g. ``{"China, Prc": "China"}``); names not in it stay.
+    data uses (e.g. ``{"Norland, Upper": "Norland"}``); names not in it stay.
     """
     name = title_case("Name")
     if aliases:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators.clean import q
 from starmart.plans.incremental import existing_table
+from starmart.sources.writers import delete_path
 
 OPEN = "9999-12-31"
 
@@ -61,25 +62,32 @@ def update_history(spark: SparkSession, path: str, snapshot: DataFrame, keys: Se
 
     Days come in order: a day before one that has been applied raises.
     """
-    on = F.lit(day).cast("date")
+    on, still = F.lit(day).cast("date"), F.lit(OPEN).cast("date")
     history = existing_table(spark, path)
+    closed_today = False
     if history is None:
         before = snapshot.limit(0).withColumns({"valid_from": on, "row_hash": F.lit("")})
     else:
-        near = history.where(F.col("closed_on").isin(F.lit(OPEN).cast("date"), on))
-        last = history.agg(F.max("valid_from"), F.max(F.when(
-            F.col("closed_on") < F.lit(OPEN).cast("date"), F.col("closed_on")))).first()
-        if any(x is not None and str(x) > day for x in last):
-            raise ValueError(f"{day} lies before a day that has been applied")
-        # Versions that began on the day go, those that it closed are open again.
-        before = near.where(F.col("valid_from") < on)
+        # The open versions, and of the closed ones only the partitions' names.
+        days = history.groupBy("closed_on").agg(F.max(F.when(
+            F.col("closed_on") == still, F.col("valid_from"))).alias("began"))
+        last, closed_today = days.agg(
+            F.max(F.when(F.col("closed_on") < still, F.col("closed_on")).otherwise(F.col("began"))),
+            F.bool_or(F.col("closed_on") == on)).first()
+        if last is not None and str(last) > day:
+            raise ValueError(f"{day} lies before {last}, which has been applied")
+        # Versions that began on the day go, those that it closed are open again (once,
+        # also if a run broke off between the two partitions).
+        before = (history.where(F.col("closed_on").isin(still, on) & (F.col("valid_from") < on))
+                  .dropDuplicates([*keys, "valid_from", "row_hash"]))
     # Cut: the partitions that are read are about to be replaced.
     versions = next_versions(before, snapshot, keys, on).checkpoint(eager=True)
-    gone = history is not None and versions.where(F.col("closed_on") == on).isEmpty()
-    if gone and not history.where(F.col("closed_on") == on).isEmpty():
-        raise ValueError(f"{day} was applied with another snapshot that closed versions")
     (versions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("closed_on").parquet(path))
+    written = {str(r[0]) for r in versions.select("closed_on").distinct().collect()}
+    for gone, held in ((day, closed_today), (OPEN, history is not None)):
+        if held and gone not in written:  # at most two partitions
+            delete_path(spark, f"{path.rstrip('/')}/closed_on={gone}")
     return read_history(spark, path)
 
 

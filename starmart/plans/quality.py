@@ -19,12 +19,14 @@ def row_count_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out.withColumn("passed", F.col("n_rows") > 0)
 
 
-def referential_checks(fact: DataFrame, checks: Mapping[str, tuple]) -> DataFrame:
+def referential_checks(fact: DataFrame, checks: Mapping[str, tuple],
+                       weight: str | None = None) -> DataFrame:
     """Q2: ``(check_name, orphans, null_keys, passed)``.
 
     ``checks`` maps a name to ``(fact_key, dim_df, dim_key)``.  ``orphans`` are
     fact rows whose key has no dimension row; ``null_keys`` are rows without a
     key, which is sound (a NULL never joins).  A check passes without orphans.
+    With ``weight`` a row of ``fact`` stands for as many rows as that column says.
 
     One pass over the fact counts the rows of every key of every check (partial
     aggregates on every task); only those counts meet the dimensions.
@@ -33,8 +35,9 @@ def referential_checks(fact: DataFrame, checks: Mapping[str, tuple]) -> DataFram
     fact_keys = F.array(*[F.struct(F.lit(n).alias("check_name"),
                                    F.col(checks[n][0]).cast("string").alias("key"))
                           for n in names])
-    counts = (fact.select(F.explode(fact_keys).alias("k"))
-              .groupBy("k.check_name", "k.key").agg(F.count(F.lit(1)).alias("n")))
+    rows = F.sum("_rows") if weight else F.count(F.lit(1))
+    counts = (fact.select(F.explode(fact_keys).alias("k"), *([F.col(weight).alias("_rows")] if weight else []))
+              .groupBy("k.check_name", "k.key").agg(rows.alias("n")))
     dims = None
     for n in names:
         _, dim, key = checks[n]
