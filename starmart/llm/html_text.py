@@ -51,8 +51,17 @@ _MARKS = frozenset(
 #: Words beside "header" in the class of an article's own headline.
 _HEADLINE = frozenset("article blog content entry headline news page post recipe section story "
                       "title".split())
+#: Words beside a mark in the names of page furniture.  Inside an article a mark beside
+#: any other word (a section on related work, say) decides only with a low ratio.
+_PLAIN = frozenset(
+    "area article articles author bar block body bottom box button buttons col column container "
+    "content count feed form group icon icons inner item items js left link links list main meta "
+    "module outer page panel post posts reader reader's readers region right row section site slot "
+    "story text the thread title top unit user users wrap wrapper".split())
 #: A marked container with this share of the content lines' characters is a wrapper.
 MARK_SHARE = 0.5
+#: Characters of a paragraph that counts as text by itself.
+SENTENCE = 40
 #: Words of readers' replies, which can outweigh an article, and their share.
 _REPLIES = frozenset("comment comments commentlist disqus reply replies respond".split())
 REPLY_SHARE = 0.9
@@ -79,42 +88,63 @@ def _gone(attrs) -> bool:
     return False
 
 
-def _marks(attrs) -> set:
-    """Words in class names or ids that mark what is not the article."""
-    out = set()
+def _marks(attrs) -> tuple[set, bool]:
+    """Words in class names or ids that mark what is not the article, and whether
+    one of the names says nothing else."""
+    out, sure = set(), False
     for name, value in attrs:
         if name in ("class", "id"):
             for part in (value or "").split():
                 words = _SPLIT.split(_CAMEL.sub(" ", part).lower())
                 found = _MARKS.intersection(words)
-                if found != {"header"} or _HEADLINE.isdisjoint(words):
+                if found and (found != {"header"} or _HEADLINE.isdisjoint(words)):
                     out |= found
-    return out
+                    sure = sure or all(not w or w.isdigit() or w in _MARKS or w in _PLAIN
+                                       for w in words)
+    return out, sure
 
 
 class _Lines(HTMLParser):
     """Lines of a page: [text, tags, container, dropped, tag, linked characters,
-    innermost marked element, whether an article or main is around]."""
+    pieces (text, innermost marked element), whether an article or main is around,
+    whether an article is].
+
+    What is dropped or marked is settled for each piece of text when it is read, so
+    a button inside a sentence takes nothing else along."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         #: (tag, dropped from here, container, marked element, in an article or main)
         self.stack: list[tuple[str, bool, int, int, bool]] = []
-        #: Of marked elements: the one around, whether it holds an article or main, the words.
-        self.marks: list[list] = [[-1, True, set()]]
+        #: Of marked elements: the one around, whether it holds an article or main, the
+        #: words, whether the mark is sure, whether an article or main is around.
+        self.marks: list[list] = [[-1, True, set(), True, False]]
         self.parents: list[tuple[int, str]] = [(-1, "body")]  # of containers
         self.lines: list[list] = []
-        self.text: list[str] = []
+        self.text: list[tuple[str, int]] = []
+        self.lost: list[str] = []
         self.tags = self.linked = self.links = 0
 
     def _end(self):
-        """Close the line that is open."""
-        if self.text or self.tags:
-            joined = " ".join("".join(self.text).split())
-            tag, dropped, container, mark, inside = (self.stack[-1] if self.stack
-                                                     else ("body", False, 0, 0, False))
-            self.lines.append([joined, self.tags, container, dropped, tag, self.linked, mark, inside])
-            self.text, self.tags, self.linked = [], 0, 0
+        """Close the line that is open.  It stands in the innermost element that is
+        not dropped, unless nothing but dropped text is in it."""
+        if self.text or self.lost or self.tags:
+            joined = " ".join("".join(t for t, _ in self.text).split())
+            lost = not joined and any(t.strip() for t in self.lost)
+            if lost:
+                joined = " ".join("".join(self.lost).split())
+            around = self.stack if lost else [x for x in self.stack if not x[1]]
+            tag, _, container, _, inside = around[-1] if around else ("body", False, 0, 0, False)
+            self.lines.append([joined, self.tags, container, lost, tag, self.linked, self.text,
+                               inside, any(x[0] == "article" for x in around)])
+            self.text, self.lost, self.tags, self.linked = [], [], 0, 0
+
+    def _aside(self) -> bool:
+        """Whether an inline element that is dropped stands around: its blocks do not
+        cut the sentence that it stands in."""
+        if not self.stack or not self.stack[-1][1]:
+            return False
+        return next(x[0] for x in self.stack if x[1]) not in _BLOCK
 
     def _pop(self, at: int):
         for tag, *_ in self.stack[at:]:
@@ -123,20 +153,23 @@ class _Lines(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         block = tag in _BLOCK
-        if block:
+        if block and not self._aside():
             self._end()
+        if block:
             # A block ends an open paragraph; items and cells end their like.
             for i in range(len(self.stack) - 1, -1, -1):
-                t = self.stack[i][0]
+                t, dropped = self.stack[i][:2]
                 if t == "p" or t in _CLOSES.get(tag, ()):
                     self._pop(i)
                     break
                 if t in _SCOPE or t in ("li", "td", "th", "dd") and tag not in _CLOSES:
                     break
+                if dropped and not (i and self.stack[i - 1][1]):
+                    break  # what is inside a dropped element closes nothing around it
         self.tags += 1
         if tag in _VOID:
             if tag == "br":
-                self.text.append(" ")
+                self.handle_data(" ")
             return
         _, dropped, container, mark, inside = self.stack[-1] if self.stack else ("", False, 0, 0, False)
         if not dropped:
@@ -144,16 +177,17 @@ class _Lines(HTMLParser):
             if tag == "header":  # a page header goes, an article's headline stays
                 dropped = dropped or not any(x[0] in ("article", "main") for x in self.stack)
         if not dropped:
-            marked = _marks(attrs) if attrs else set()
+            marked, sure = _marks(attrs) if attrs else (set(), False)
             if tag == "form":
                 marked.add(tag)
+                sure = True
             if tag in ("article", "main") and (tag == "main" or not marked):
                 inside, m = True, mark
                 while m > 0 and not self.marks[m][1]:
                     self.marks[m][1] = True
                     m = self.marks[m][0]
             elif marked and tag not in _KEEP:
-                self.marks.append([mark, False, marked])
+                self.marks.append([mark, False, marked, sure, inside])
                 mark = len(self.marks) - 1
         if tag in _CONTAINER:
             self.parents.append((container, tag))
@@ -166,7 +200,7 @@ class _Lines(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if tag in _BLOCK:
+        if tag in _BLOCK and not self._aside():
             self._end()
         self.tags += 1
         for i in range(len(self.stack) - 1, -1, -1):
@@ -181,7 +215,10 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         if self.stack and self.stack[-1][0] in ("script", "style"):
             return
-        self.text.append(data)
+        if self.stack and self.stack[-1][1]:
+            self.lost.append(data)
+            return
+        self.text.append((data, self.stack[-1][3] if self.stack else 0))
         if self.links:
             self.linked += len("".join(data.split()))
 
@@ -215,25 +252,41 @@ def _content(lines) -> np.ndarray:
 
 
 def _drop_marked(lines, marks):
-    """Drop the lines of marked elements (and forms), but for those that wrap the
+    """Drop the text of marked elements (and forms), but for those that wrap the
     page: they hold an article or main, or most of the content lines' characters,
-    counted in articles and mains if there are any.  Replies are judged first."""
+    counted in articles and mains if there are any.  An element in an article whose
+    mark is not sure also needs to lie mostly in lines that are neither content nor
+    paragraphs of a sentence's length.
+    Replies are judged first."""
     for replies, share in ((True, REPLY_SHARE), (False, MARK_SHARE)):
         if len(marks) == 1 or all(x[3] for x in lines):
             return
         within = any(x[7] and not x[3] for x in lines)
-        weight = [0] * len(marks)
+        weight, dense, size = ([0] * len(marks) for _ in range(3))
         for x, h in zip(lines, _content(lines)):
-            if h and not x[3] and (x[7] or not within):
-                weight[x[6]] += len(x[0])
+            if x[3]:
+                continue
+            one = len({m for _, m in x[6]}) == 1
+            for text, m in x[6][:1] if one else x[6]:
+                n = len(x[0]) if one else len(" ".join(text.split()))
+                size[m] += n
+                dense[m] += n * bool(h or x[4] == "p" and n >= SENTENCE and 2 * x[5] < n)
+                if h and (x[7] or not within):
+                    weight[m] += n
         for m in range(len(marks) - 1, 0, -1):  # elements inside come later
-            weight[marks[m][0]] += weight[m]
+            for column in (weight, dense, size):
+                column[marks[m][0]] += column[m]
         gone = [False]
-        for m, (around, holds, words) in enumerate(marks[1:], 1):
+        for m, (around, holds, words, sure, inside) in enumerate(marks[1:], 1):
             light = not holds and weight[m] < max(1, share * weight[0])
+            if inside and not sure:
+                light = light and 2 * dense[m] < size[m]
             gone.append(gone[around] or light and replies != _REPLIES.isdisjoint(words))
         for x in lines:
-            x[3] = x[3] or gone[x[6]]
+            stay = [(t, m) for t, m in x[6] if not gone[m]]
+            if not x[3] and len(stay) < len(x[6]):
+                left = " ".join("".join(t for t, _ in stay).split())
+                x[0], x[3], x[6] = left or x[0], not left, stay
 
 
 def main_text(html: str | None, share: float = 0.6, whole: float = 0.95) -> str:
@@ -302,10 +355,11 @@ def _holds(c: int, weight, parents) -> bool:
 
 
 def _without_link_lists(lines):
-    """Lines without runs of three or more list items that are links only."""
+    """Lines without runs of three or more list items that are links only; in an
+    article such a list is one of sources."""
     out, run = [], []
     for x in [*lines, None]:
-        if x is not None and x[4] in ("li", "a") and x[5] >= len("".join(x[0].split())) > 0:
+        if x is not None and not x[8] and x[4] in ("li", "a") and x[5] >= len("".join(x[0].split())) > 0:
             run.append(x)
             continue
         if len(run) < 3:

@@ -116,3 +116,46 @@ def test_corner_tables(spark):
     pages = pages.withColumn("text", F.lit("mine"))
     assert sorted(r.text for r in extract(pages).collect()) == ["", "a", "a", "a"]
     assert extract(pages.limit(0)).count() == 0
+
+
+PARAGRAPHS = [f"This is paragraph {n} of an article, with quite a few words in one long sentence."
+              for n in range(6)]
+BODY = "".join(f"<p>{t}</p>" for t in PARAGRAPHS)
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<p>Real sentence here. <select><option>Pick</option></select> more.</p>",
+     "Real sentence here. more."),
+    ("<p>Real sentence. <span hidden>not shown</span> <button>Subscribe</button></p>", "Real sentence."),
+    ("<p>One <textarea>t</textarea>two <noscript><div>n</div></noscript>three <svg><text>s</text></svg>"
+     "four <template><p>x</p></template>five <span class=advert>Buy</span>six</p>",
+     "One two three four five six"),
+    ("<p hidden>gone<p>kept text", "kept text"),
+    ("<p>before <span style='display: none'><b>x</b></span>after<br>end</p>", "before after end"),
+    ("<aside><p>x<ul><li>a<li>b</ul></aside><p>stays</p>", "stays")])
+def test_each_piece_of_text_has_its_own_fate(html, text):
+    assert main_text(html) == text
+    # The same inside an article.
+    whole = main_text(f"<article>{BODY}{html}</article>")
+    assert whole == "\n".join([*PARAGRAPHS, text])
+
+
+@pytest.mark.parametrize("section", [
+    "<section class='related-work'><h2>Related work</h2><p>{}</p></section>",
+    "<section id='market-share'><p>{}</p></section>",
+    "<section id='comments-on-method-text'><p>{}</p></section>",
+    "<ul><li><a href=a>{}</a></li><li><a href=b>Source two</a></li><li><a href=c>Three</a></li></ul>"])
+def test_sections_of_an_article_stay(section):
+    words = "Some words that are long enough to be a paragraph of their own here."
+    text = main_text(f"<article>{BODY}{section.format(words)}</article>")
+    assert words in text.split("\n") and text.startswith("\n".join(PARAGRAPHS))
+
+
+@pytest.mark.parametrize("box", [
+    "<div class='comments'><p>{}</p></div>", "<div id='user-comments'><p>{}</p></div>",
+    "<div class='related-posts'><a href=x>{}</a></div>", "<div class='share-buttons'>{}</div>",
+    "<div class='newsletter-signup'><p>{}</p></div>", "<form><p>{}</p></form>",
+    "<div class='advert-box'><p>{}</p></div>", "<aside><p>{}</p></aside>"])
+def test_furniture_of_an_article_goes(box):
+    words = "Some words that are long enough to be a paragraph of their own here."
+    assert main_text(f"<article>{BODY}{box.format(words)}</article>") == "\n".join(PARAGRAPHS)
