@@ -355,20 +355,27 @@ def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     """``docs`` with the copied lines taken out of ``text``.
 
     Documents of which no line with a word is left, though lines went, go too:
-    all they said stands elsewhere.  Other columns pass unchanged.
+    all they said stands elsewhere.  Other columns pass unchanged, whatever their
+    names.  Null and empty texts stay, as do rows without a doc_id, whose lines are
+    not judged; rows that repeat a document lose the same lines; an empty table gives
+    an empty result.
     """
     gone = (copied_lines(docs, max_edits, min_chars, short_list)
             .groupBy("doc_id", "doc").agg(F.collect_set("line_no").alias("_gone"))
             .withColumnsRenamed({"doc_id": "_id", "doc": "_doc"}))
+    text = F.col("_row.text")
     rest = F.array_join(F.transform(F.filter(F.transform(
-        F.split("text", "\n", -1), lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
+        F.split(text, "\n", -1), lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
         lambda s: ~F.array_contains("_gone", s["i"])), lambda s: s["x"]), "\n")
-    joined = docs.join(gone, (docs["doc_id"] == gone["_id"])
-                       & (F.xxhash64(docs["text"]) == gone["_doc"]), "left")
-    text = F.when(F.col("_gone").isNull(), docs["text"]).otherwise(rest)
-    out = joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns], "_gone")
-    return out.where(F.col("_gone").isNull() | (F.length(F.trim("text")) > 0)).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    # The row travels as one column, so no name of its own can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    joined = rows.join(gone, (F.col("_row.doc_id") == F.col("_id"))
+                       & (F.xxhash64("_row.text") == F.col("_doc")), "left")
+    kept = F.when(F.col("_gone").isNull(), text).otherwise(rest)
+    out = joined.select("_row", "_gone", kept.alias("_text"))
+    return out.where(F.col("_gone").isNull() | (F.length(F.trim("_text")) > 0)).select(
+        *[F.col("_text").alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c)
+          for c in docs.columns])
 
 
 def oracle_sql(min_chars: int = MIN_CHARS) -> str:

@@ -119,18 +119,23 @@ def _time(share: F.Column) -> F.Column:
     return F.least(F.lit(1.0), 2 * share / ((1 - a) + root))
 
 
-def training_stream(docs: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` in training order, one per pass that takes words, with
-    the extra columns ``_taken`` and ``_position``.
-
-    A document taken twice appears twice.  The order is a range sort, so the
-    stream is written as consecutive files.
+def training_stream(docs: DataFrame, taken: str = "_taken", position: str = "_position",
+                    **options) -> DataFrame:
+    """Rows of ``docs`` in training order, one per pass that takes words, with the
+    words taken and the position as columns of the given names.
+
+    A document taken twice appears twice; one without words, a null text too, does not
+    appear.  The order is a range sort, so the stream is written as consecutive files.
+    Columns of ``docs`` that have one of the two names are replaced; all others pass.
+    Rows that repeat one another are rows of their own; an empty table gives an empty
+    result.
     """
+    own = {taken.lower(), position.lower()}
     passes = (mix(docs, carry=True, **options)
               .select("row", "taken", F.explode("positions").alias("_position"))
               .orderBy("_position", "row.doc_id"))
-    return passes.select(*[F.col(f"row.`{c}`") for c in docs.columns],
-                         F.col("taken").alias("_taken"), "_position")
+    return passes.select(*[F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in own],
+                         F.col("taken").alias(taken), F.col("_position").alias(position))
 
 
 #: DuckDB twin of the query over documents.

@@ -115,9 +115,15 @@ def test_run_is_the_stages(spark, stages):
 
 def test_columns_and_corner_tables(spark):
     docs = documents(spark, [(*r, "en", "s") for r in awkward()]).withColumn(
-        "h1", F.lit("mine")).withColumn("component_id", F.lit(1))
+        "h1", F.lit("mine")).withColumn("component_id", F.lit(1)).withColumns(
+        {c: F.lit("x") for c in ("_gone", "_row", "row", "size", "target", "_taken", "_position",
+                                 "lang_pred", "score", "fingerprint")})
     for name, stage in P.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0, name
         out = stage(spark, docs, SF)
         assert out.columns[:len(docs.columns)] == docs.columns, name
         out.collect()
+    clash = docs.withColumn("Taken", F.lit("x")).withColumn("position", F.lit("x"))
+    out = P.mix(spark, clash, SF)
+    assert out.columns == [*docs.columns, "taken", "position"]
+    assert all(isinstance(r.position, float) for r in out.collect())
