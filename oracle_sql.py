@@ -453,4 +453,26 @@ SELECT *, DATE '2016-04-01' AS valid_from, CAST(NULL AS DATE) AS valid_to
 FROM (SELECT * FROM a INTERSECT SELECT * FROM b)
 UNION ALL SELECT *, DATE '2016-04-01', DATE '2016-05-01' FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
 UNION ALL SELECT *, DATE '2016-05-01', NULL FROM (SELECT * FROM b EXCEPT SELECT * FROM a)"""),
+    "qc_reconcile_loads": with_(["clean_arrivals"], """
+, a AS (SELECT *, coalesce(CAST(cicid AS BIGINT), 1) AS k FROM clean_arrivals),
+b AS (SELECT * EXCLUDE (k) REPLACE (CASE WHEN k % 83 = 0 THEN 2.0 ELSE "count" END AS "count"),
+             unnest(range(CASE WHEN k % 97 = 0 THEN 0 WHEN k % 89 = 0 THEN 2 ELSE 1 END)) AS u FROM a),
+u AS (SELECT * EXCLUDE (k), 1 AS l, 0 AS r FROM a UNION ALL SELECT * EXCLUDE (u), 0, 1 FROM b)
+SELECT * EXCLUDE (l, r), CAST(sum(l) AS BIGINT) AS n_left, CAST(sum(r) AS BIGINT) AS n_right
+FROM u GROUP BY ALL HAVING sum(l) <> sum(r)"""),
+    "src_nested_payloads": """
+WITH e AS (SELECT event_id, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k,
+                  CASE WHEN event_id % 19 = 0 THEN 'malformed' WHEN event_id % 29 = 0 THEN 'missing k'
+                       WHEN event_id % 23 = 0 THEN 'empty' END AS reason FROM events),
+n AS (SELECT *, CASE WHEN reason IS NOT NULL OR event_id % 4 = 0 THEN 0 ELSE event_id % 3 + 1 END AS size
+      FROM e)
+SELECT event_id, reason, CASE WHEN reason IS NULL THEN k END AS k, CAST(NULL AS INTEGER) AS tag_no,
+       CAST(NULL AS VARCHAR) AS tag FROM n WHERE size = 0
+UNION ALL
+SELECT event_id, reason, k, CAST(i AS INTEGER), 't' || i
+FROM (SELECT *, unnest(range(size)) AS i FROM n WHERE size > 0)""",
+    "agg_merged_states": """
+SELECT CAST(date_trunc('week', ts) AS DATE) AS period_start, count(*) AS n_rows,
+       count(DISTINCT user_id) AS n_exact, true AS within_bound
+FROM events GROUP BY 1""",
 }

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart import schemas
 from starmart.config import scratch_path
@@ -23,6 +24,7 @@ from starmart.operators.asof import asof_join
 from starmart.operators.intervals import interval_join
 from starmart.operators.joins import lookup_join, orphans
 from starmart.operators.keys import assign_key
+from starmart.operators.reconcile import reconcile
 from starmart.operators.rollup import distinct_rollup
 from starmart.plans import analytics as A
 from starmart.plans import dims as M
@@ -32,7 +34,9 @@ from starmart.plans.incremental import update_star
 from starmart.plans.pipeline import read_arrivals, register_star, run_pipeline
 from starmart.plans.presence import presence_by_day
 from starmart.plans.quality import referential_checks, row_count_checks
+from starmart.plans.sketches import daily_states, merged_counts, save_states, standard_error
 from starmart.sources import bindings as B
+from starmart.sources.payloads import exploded, parse_payloads
 from starmart.sources.readers import PipelineConfig, read_csv_table, read_events, read_table
 from starmart.sources.writers import write_table
 from starmart.streaming.dedup import ingest_events, outcomes
@@ -458,6 +462,48 @@ def dim_demographics_history(spark, d):
     return history
 
 
+def qc_reconcile_loads(spark, d):
+    """Two loads of the cleaned events compared as multisets: the second one lacks
+    every 97th record, holds every 89th twice and counts another number in every 83rd."""
+    first = _clean_arrivals(spark, d)
+    k = F.coalesce(F.col("cicid").cast("long"), F.lit(1))
+    times = F.when(k % 97 == 0, 0).when(k % 89 == 0, 2).otherwise(1)
+    second = (first.withColumn("_copy", F.explode(F.sequence(F.lit(0), times))).where("_copy > 0")
+              .drop("_copy").withColumn("count", F.when(k % 83 == 0, 2.0).otherwise(F.col("count"))))
+    return reconcile(first, second)
+
+
+def src_nested_payloads(spark, d):
+    """Events with their JSON payloads parsed, one row per tag; rejects with a reason.
+    Every 19th text is cut off, every 23rd missing, every 29th without its field."""
+    events, k = B._read(spark, d, "events"), F.col("event_id")
+    tags = F.array_join(F.transform(F.sequence(F.lit(0), k % 3), lambda i: F.concat(
+        F.lit('"t'), i.cast("string"), F.lit('"'))), ",")
+    full = F.concat(F.expr("substring(props, 1, length(props) - 1)"), F.lit(', "tags": ['),
+                    F.when(k % 4 == 0, F.lit("")).otherwise(tags), F.lit("]}"))
+    text = (F.when(k % 19 == 0, F.expr("substring(props, 1, length(props) - 1)"))
+            .when(k % 29 == 0, F.lit('{"tags": ["t"]}')).when(k % 23 != 0, full))
+    parsed = parse_payloads(events.select("event_id", text.alias("body")), "body", T.StructType([
+        T.StructField("k", T.LongType()), T.StructField("tags", T.ArrayType(T.StringType()))]), ["k"])
+    rows = exploded(parsed, "payload.tags", "tag")
+    return rows.select("event_id", "reason", F.col("payload.k").alias("k"),
+                       F.col("item_no").alias("tag_no"), "tag")
+
+
+def agg_merged_states(spark, d):
+    """Users per week from daily states that were written and merged, beside the exact
+    number, and whether they agree within four standard errors."""
+    events, path = B._read(spark, d, "events"), scratch_path(spark, "states")
+    save_states(daily_states(events, "ts", "user_id"), path)
+    merged = merged_counts(spark, path, "week")
+    week = F.to_date(F.date_trunc("week", F.col("ts").cast("timestamp")))
+    exact = events.groupBy(week.alias("_start")).agg(F.count_distinct("user_id").alias("n_exact"))
+    off = F.abs(F.col("n_members") - F.col("n_exact"))
+    return (merged.join(exact, F.col("period_start") == F.col("_start"))
+            .select("period_start", "n_rows", "n_exact",
+                    (off <= 4 * standard_error() * F.col("n_exact")).alias("within_bound")))
+
+
 def star_incremental(spark, d):
     """The star from two daily loads, the second one run again: the fact with the
     ids and members of its dimensions."""
@@ -618,5 +664,7 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in [
     ("src_csv_inferred", src_csv_inferred), ("join_interval_transit", join_interval_transit),
     ("an_presence_by_day", an_presence_by_day), ("an_arrivals_rollup", an_arrivals_rollup),
     ("dim_demographics_history", dim_demographics_history),
+    ("qc_reconcile_loads", qc_reconcile_loads), ("src_nested_payloads", src_nested_payloads),
+    ("agg_merged_states", agg_merged_states),
     ("stream_dedup_late", stream_dedup_late), ("stream_weekly_upsert", stream_weekly_upsert),
 ]}

@@ -1,0 +1,96 @@
+"""Reconciliation, payloads and merged states: nothing lost, nothing unexplained."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starmart.config import scratch_path
+from starmart.operators import reconcile as R
+from starmart.plans import sketches
+from starmart.sources import payloads
+
+SCHEMA = "k string, n int, x double"
+
+
+def rows(seed, n=400):
+    rng = random.Random(seed)
+    return [(rng.choice(["hot", "hot", "a", "", None]), rng.choice([None, *range(30)]),
+             rng.choice([None, 0.5, float("nan")])) for _ in range(n)]
+
+
+def same(row):
+    return tuple("nan" if isinstance(v, float) and v != v else v for v in row)
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_injected_changes_are_named(spark, buckets):
+    left = rows(1)
+    right = left[5:] + [left[0]] * 3 + [("new", 1, None), ("", None, None), (None, None, None)]
+    random.Random(2).shuffle(right)
+    a, b = (spark.createDataFrame(x, SCHEMA) for x in (left, right))
+    got = {same((r.k, r.n, r.x)): (r.n_left, r.n_right) for r in
+           R.reconcile(a, b.repartition(5), buckets=buckets).collect()}
+    m, n = Counter(map(same, left)), Counter(map(same, right))
+    assert got == {k: (m[k], n[k]) for k in m | n if m[k] != n[k]}
+
+
+def test_equal_loads_agree_in_any_order(spark):
+    left = rows(3)
+    a, b = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(left[::-1], SCHEMA).repartition(7)
+    assert R.differing_buckets(a, b).count() == 0 and R.reconcile(a, b).count() == 0
+    assert R.reconcile(a.limit(0), b.limit(0)).count() == 0
+    gone = R.reconcile(a, b.limit(0))
+    assert gone.agg(F.sum("n_left")).first()[0] == len(left)
+    # Nulls that change places are told apart.
+    c = spark.createDataFrame([("x", None), (None, "x")], "a string, b string")
+    assert R.differing_buckets(c.limit(1), c.where("a IS NULL"), buckets=1).count() == 1
+
+
+def test_only_differing_buckets_are_compared(spark):
+    left = rows(4)
+    a, b = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(left + [("new", 1, 0.5)], SCHEMA)
+    assert R.differing_buckets(a, b).count() == 1
+
+
+PAYLOAD = T.StructType([T.StructField("k", T.LongType()), T.StructField("tags", T.ArrayType(T.StringType()))])
+
+
+def test_every_payload_is_parsed_or_rejected(spark):
+    texts = {'{"k": 1, "tags": ["a", "b"]}': None, '{"k": 2, "tags": []}': None,
+             '{"k": 3, "other": {"x": 1}}': None, '{"tags": ["a"]}': "missing k",
+             '{"k": null}': "missing k", '{"k": 4': "malformed", "[1]": "malformed",
+             '{"k": "four"}': "malformed", "text": "malformed", "": "empty", "  ": "empty", None: "empty"}
+    df = spark.createDataFrame([(t,) for t in texts], "body string")
+    got = payloads.parse_payloads(df, "body", PAYLOAD, ["k"])
+    assert {r.body: r.reason for r in got.collect()} == texts
+    good, bad = payloads.split_rejects(got)
+    assert good.count() + bad.count() == len(texts) and "payload" not in bad.columns
+    assert all(r.payload is None for r in got.where("reason IS NOT NULL").collect())
+    items = payloads.exploded(good, "payload.tags")
+    assert sorted((r.payload.k, r.item_no, r.item) for r in items.collect() if r.item) == [
+        (1, 0, "a"), (1, 1, "b")]
+    assert {r.payload.k for r in items.collect()} == {1, 2, 3}
+    with pytest.raises(ValueError):
+        payloads.parse_payloads(df.withColumn("reason", F.lit(1)), "body", PAYLOAD)
+
+
+def test_states_merge_within_their_error(spark):
+    path = scratch_path(spark, "states")
+    events = spark.range(60_000).select(
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60).alias("ts"),
+        F.when(F.col("id") % 50 != 0, F.pmod(F.xxhash64("id"), F.lit(9_000))).alias("member"))
+    sketches.save_states(sketches.daily_states(events, "ts", "member"), path)
+    exact = (events.groupBy(F.to_date(F.date_trunc("month", "ts")).alias("p"))
+             .agg(F.count_distinct("member").alias("n"), F.count(F.lit(1)).alias("rows")).collect())
+    got = {r.period_start: r for r in sketches.merged_counts(spark, path).collect()}
+    assert len(exact) == len(got) >= 2
+    for r in exact:
+        assert got[r.p].n_rows == r.rows
+        assert abs(got[r.p].n_members - r.n) <= 4 * sketches.standard_error() * r.n
+    before = sorted(map(str, sketches.merged_counts(spark, path).collect()))
+    one_day = events.where("date(ts) = '2023-11-20'")
+    sketches.save_states(sketches.daily_states(one_day, "ts", "member"), path)  # loaded again
+    assert sorted(map(str, sketches.merged_counts(spark, path).collect())) == before
