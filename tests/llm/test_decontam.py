@@ -59,15 +59,87 @@ def test_against_brute_force_on_the_table(spark):
     assert kept == {r.doc_id for r in d.collect()} - {i for i, _ in want}
 
 
-def test_blocks_give_the_same(spark):
+def test_partitions_give_the_same(spark):
     rng = random.Random(1)
     vocab = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
     items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randint(5, 40)))) for i in range(60)]
     b = spark.createDataFrame(items, "item_id long, text string")
     texts = [f"{CLEAN} {rng.choice(items)[1]} {CLEAN}" for _ in range(40)]
-    assert found(spark, b, texts) == found(spark, b, texts, block_tokens=40)
+    assert found(spark, b, texts) == found(spark, b.repartition(5), texts)
     docs = documents(spark, list(enumerate(texts + [CLEAN])))
-    assert [r.doc_id for r in decontam.drop_contaminated(docs, b, block_tokens=40).collect()] == [40]
+    assert [r.doc_id for r in decontam.drop_contaminated(docs, b).collect()] == [40]
+
+
+def test_one_changed_word_anywhere(spark):
+    """A word added, dropped or replaced at any place, for items of 8 to 30 tokens;
+    what is covered is what a plain longest common subsequence covers."""
+    rng = random.Random(2)
+    vocab = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    items = [(n, " ".join(rng.sample(vocab, n))) for n in (8, 9, 12, 13, 14, 16, 17, 22, 30)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    texts, want = [], {}
+    for item, text in items:
+        words = text.split()
+        for k in range(len(words)):
+            for new, left in ((words[:k] + ["extra"] + words[k:], len(words)),
+                              (words[:k] + words[k + 1:], len(words) - 1),
+                              (words[:k] + ["other"] + words[k + 1:], len(words) - 1)):
+                want[len(texts), item] = left
+                texts.append(f"{CLEAN} {' '.join(new)} {CLEAN}")
+    docs = documents(spark, list(enumerate(texts)))
+    got = {(r.doc_id, r.item_id): r.n_tokens for r in decontam.contaminated(docs, b).collect()}
+    assert got == want
+
+
+def test_against_plain_matching(spark):
+    """Pieces of items of any length among noise: an uninterrupted piece of 13 tokens,
+    or a shorter item nearly whole, is found, and nothing else."""
+    rng = random.Random(3)
+    vocab = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    items = [(n, " ".join(rng.sample(vocab, n))) for n in (5, 6, 8, 11, 13, 18, 25, 60)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    texts, want = [], set()
+    for _ in range(150):
+        item, text = rng.choice(items)
+        size = rng.randint(1, item)
+        at = rng.randint(0, item - size)
+        if size >= (13 if item > 13 else item if item < 8 else item - item // 8):
+            want.add((len(texts), item))
+        texts.append(f"{CLEAN} {' '.join(text.split()[at:at + size])} {CLEAN}")
+    assert 20 < len(want) < 130 and found(spark, b, texts) == want
+
+
+def test_shared_preamble(spark):
+    """A preamble that many items share identifies none of them; with an item's own
+    words behind it, it is that item.  An item that is the preamble is found."""
+    words = "please read the whole text below with care and then choose the one best answer from the list"
+    own = [f"n{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)]
+    items = [(i, f"{words} {' '.join(own[10 * i:10 * i + 10])}") for i in range(40)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    texts = [f"{CLEAN} {words}. {CLEAN}", f"{CLEAN} {items[7][1]} {CLEAN}", items[9][1], words]
+    assert found(spark, b, texts) == {(1, 7), (2, 9)}
+    whole = b.union(spark.createDataFrame([(99, words)], b.schema))
+    assert found(spark, whole, texts) == {(0, 99), (1, 7), (1, 99), (2, 9), (2, 99), (3, 99)}
+    docs = documents(spark, list(enumerate(texts)))
+    assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, b).collect()) == [0, 3]
+    # Repeated items are one template, however many they are.
+    many = spark.createDataFrame([(i, items[7][1]) for i in range(30)], b.schema)
+    assert found(spark, many, [CLEAN, items[7][1]]) == {(1, i) for i in range(30)}
+
+
+def test_short_items(spark, bench):
+    """Under five tokens: the whole document, in any case and punctuation."""
+    assert found(spark, bench, ["yes", "Yes!", "yes yes", "oh yes", "", CLEAN]) == {(0, 3), (1, 3)}
+
+
+def test_clashing_columns(spark, bench):
+    names = ["item_id", "iid", "key", "_decontam_key", "_text", "fid", "n_tokens", "first_token", "_b"]
+    docs = documents(spark, [(1, ITEMS[1][1]), (2, CLEAN), (3, None)])
+    for n in names:
+        docs = docs.withColumn(n, F.lit("x"))
+    assert [(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench).collect()] == [(1, 2)]
+    kept = decontam.drop_contaminated(docs, bench.withColumn("iid", F.lit(1)))
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
 
 
 def test_items_dense_in_placeholders(spark):
@@ -84,24 +156,28 @@ def test_items_dense_in_placeholders(spark):
     docs = documents(spark, list(enumerate(texts)))
     got = {(r.doc_id, r.item_id): r.n_tokens for r in decontam.contaminated(docs, b).collect()}
     n = len(re.findall(r"\w+", long))
-    assert got == {(0, 1): 13, (1, 1): 13, (3, 2): 15, (6, 3): n, (7, 3): n}
-    assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, b).collect()) == [2, 4, 5, 8]
+    # Text 8 is all of item 4.
+    assert got == {(0, 1): 13, (1, 1): 13, (3, 2): 15, (6, 3): n, (7, 3): n, (8, 4): 4}
+    assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, b).collect()) == [2, 4, 5]
 
 
-def test_case_and_blocks(spark, bench):
-    """Names match in any case, and are the same words in every block."""
+def test_case_and_partitions(spark, bench):
+    """Names match in any case, and are the same words in every partition."""
     assert found(spark, bench, [ITEMS[0][1].lower(), ITEMS[0][1].upper(), ITEMS[1][1].title()]) == {
         (0, 1), (1, 1), (2, 2)}
     tail = "can we say of the river that runs by this old mill in spring"
     items = [(i, f"{w} {tail.replace('mill', v)}") for i, (w, v) in enumerate(
         [("What", "what"), ("May", "house"), ("Will", "may"), ("Paris", "will")] * 3)]
     b = spark.createDataFrame(items, "item_id long, text string")
-    # 'may' is a word of the benchmark: a name in its place breaks the run (texts 8, 20, 32).
+    # 'may' is a word of the benchmark: a name in its place is a replaced word (texts 8, 20, 32).
     texts = [f(t).replace("May", "Rome") for _, t in items for f in (str, str.lower, str.title)]
     docs = documents(spark, list(enumerate(texts)))
-    rows = lambda **kw: sorted(decontam.contaminated(docs, b, **kw).collect())
-    assert {r.doc_id for r in rows()} == set(range(len(texts))) - {8, 20, 32}
-    assert rows() == rows(block_tokens=20)
+    rows = lambda b: sorted(decontam.contaminated(docs, b).collect())
+    best: dict = {}
+    for r in rows(b):
+        best[r.doc_id] = max(best.get(r.doc_id, 0), r.n_tokens)
+    assert best == {d: 14 if d in (8, 20, 32) else 15 for d in range(len(texts))}
+    assert rows(b) == rows(b.repartition(7))
 
 
 def test_corner_tables(spark, bench):
