@@ -421,8 +421,10 @@ def _found(texts: DataFrame, benchmark: DataFrame, window: int, min_cover: int,
     seeds = cut(rare.unionByName(windows.where("level = 1").join(
         rare.select("iid").distinct(), "iid", "left_anti")))
 
-    n, widths = windows.agg(F.count("*"), F.collect_set(F.when(
-        (F.col("kind") != 0), F.col("w")))).first()
+    # A second form of an item's window is looked for only where it is joined by.
+    wanted = windows.where("level = 0").unionByName(seeds.where("level = 1"))
+    n, widths = wanted.agg(F.count("*"), F.collect_set(F.when(
+        F.col("kind") != 0, F.col("w")))).first()
     low, high = FILTER_BITS
     bits = min(high, max(low, (256 * n).bit_length()))
 
@@ -430,7 +432,7 @@ def _found(texts: DataFrame, benchmark: DataFrame, window: int, min_cover: int,
         h = b.column("h").to_numpy().view(np.uint64)
         return pa.RecordBatch.from_arrays([_signed(np.concatenate(list(_probes(h, bits))))],
                                           names=["at"])
-    table = sc.broadcast(_bit_table(windows.select("h").mapInArrow(
+    table = sc.broadcast(_bit_table(wanted.select("h").mapInArrow(
         lambda batches: (places(b) for b in batches), "at long"), "at", bits))
 
     held = cut(_stretches(texts, ids, table, sorted(widths)))

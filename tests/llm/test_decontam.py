@@ -169,14 +169,14 @@ def test_case_and_partitions(spark, bench):
     items = [(i, f"{w} {tail.replace('mill', v)}") for i, (w, v) in enumerate(
         [("What", "what"), ("May", "house"), ("Will", "may"), ("Paris", "will")] * 3)]
     b = spark.createDataFrame(items, "item_id long, text string")
-    # 'may' is a word of the benchmark: a name in its place is a replaced word (texts 8, 20, 32).
+    # 'may' is a word of the benchmark: a name in its place is a replaced word.
     texts = [f(t).replace("May", "Rome") for _, t in items for f in (str, str.lower, str.title)]
     docs = documents(spark, list(enumerate(texts)))
     rows = lambda b: sorted(decontam.contaminated(docs, b).collect())
     best: dict = {}
     for r in rows(b):
         best[r.doc_id] = max(best.get(r.doc_id, 0), r.n_tokens)
-    assert best == {d: 14 if d in (8, 20, 32) else 15 for d in range(len(texts))}
+    assert best == {d: 14 if "Rome" in t else 15 for d, t in enumerate(texts)}
     assert rows(b) == rows(b.repartition(7))
 
 
