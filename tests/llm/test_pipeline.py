@@ -73,8 +73,8 @@ def test_every_stage_against_its_plain_version(spark, stages):
     assert all(zlib.crc32(str(i).encode()) % 4 != 2
                for i, in docs.where(~langid.held_out(F.col("doc_id"))).select("doc_id").collect())
     want = sorted((i, r.text) for i, r in rows.items()
-                  if langid._score(r.text or "", model)[0] != "und"
-                  and langid._score(r.text or "", model)[1] >= 0.5)
+                  if langid.score_texts([r.text], model)[0][0] != "und"
+                  and langid.score_texts([r.text], model)[0][1] >= 0.5)
     assert texts(0) == want and len(want) > 190  # clean documents stay
 
     want = sorted(plain_lines(want))
