@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (binds pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,8 +57,10 @@ def _directions(n_pass: int, dim: int) -> np.ndarray:
 
 def _unit(rows: pa.Array, at: np.ndarray | None = None) -> np.ndarray:
     """Lists of one length as unit vectors in double precision."""
-    x = np.array(rows.to_pylist() if at is None else [rows[int(i)].as_py() for i in at], np.float64)
-    x /= np.abs(x).max(axis=1, keepdims=True)  # no overflow in the norm
+    if at is not None and len(at) < len(rows):
+        rows = rows.take(pa.array(at))
+    x = rows.flatten().to_numpy().reshape(len(rows), -1)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow in the norm
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
@@ -66,7 +69,7 @@ def _sign_rows(passes: int):
     def run(batches):
         for b in batches:
             ids = b.column(0).to_numpy()
-            dims = np.array([len(v) for v in b.column(1)], np.int64)
+            dims = pa.compute.list_value_length(b.column(1)).to_numpy()
             for dim in np.unique(dims):
                 at = np.nonzero(dims == dim)[0]
                 x = _unit(b.column(1), at)
@@ -145,9 +148,9 @@ def _window_links(window: int, cosine: float):
 
 
 def _chunk_counts(cosine: float):
-    """Rows (component, lo, hi, id, side, copies, v) by chunk pair to (id, n)."""
+    """Rows (component, dim, lo, hi, id, side, copies, v) by chunk pair to (id, n)."""
     def run(batches):
-        for (_, lo, hi), t in _groups(batches, 3):
+        for (_, _, lo, hi), t in _groups(batches, 4):
             side = t.column("side").to_numpy()
             ids, copies = t.column("id").to_numpy(), t.column("copies").to_numpy()
             x = _unit(t.column("v").combine_chunks())
@@ -254,9 +257,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, passes: int | None
                .join(sizes, F.col("component") == F.col("_c"))
                .withColumn("side", F.pmod(F.xxhash64("k1", "id"), F.col("chunks")).cast("int")))
     dealt = (members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .select("component", F.least("side", "other").alias("lo"),
+             .select("component", F.size("v").alias("dim"), F.least("side", "other").alias("lo"),
                      F.greatest("side", "other").alias("hi"), "id", "side", "copies", "v")
-             .repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi"))
+             .repartition("component", "dim", "lo", "hi")
+             .sortWithinPartitions("component", "dim", "lo", "hi"))
     counts = dealt.mapInArrow(_chunk_counts(cosine), "id long, n long")
     # An id that repeats with other vectors has the links of any of them.
     counts = counts.groupBy("id").agg(F.sum("n").alias("n")).withColumnRenamed("id", "_cid")
