@@ -29,9 +29,9 @@ BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights rese
 
 #: Names of licenses as regexes over normalised words: (label, keyword, regex).
 NAMES = (
-    ("apache-2.0", "apache", r"apache (?:software )?(?:license )?(?:version |v)?2(?: 0)?"),
-    ("apache-1.1", "apache", r"apache (?:software )?(?:license )?(?:version |v)?1 1"),
-    ("apache-1.0", "apache", r"apache (?:software )?(?:license )?(?:version |v)?1 0"),
+    ("apache-2.0", "apache", r"apache (?:software )?(?:license )?(?:version |v ?)?2(?: 0)?"),
+    ("apache-1.1", "apache", r"apache (?:software )?(?:license )?(?:version |v ?)?1 1"),
+    ("apache-1.0", "apache", r"apache (?:software )?(?:license )?(?:version |v ?)?1 0"),
     ("apache", "apache", r"apache (?:software )?license"),
     ("mit", "mit", r"mit license"),
     ("mit-0", "mit", r"mit (?:no attribution|0)(?: license)?"),
@@ -42,45 +42,45 @@ NAMES = (
     ("bsd-3-clause", "bsd", r"(?:(?:3|three) clause bsd|new bsd|modified bsd|revised bsd|bsd 3 clause)(?: license)?"),
     ("bsd-4-clause", "bsd", r"(?:(?:4|four) clause bsd|original bsd|old bsd|bsd 4 clause)(?: license)?"),
     ("bsd", "bsd", r"bsd (?:style )?license"),
-    ("gpl-1.0", "general public license", r"(?:gnu )?general public license (?:version |v)1(?: 0)?"),
-    ("gpl-2.0", "general public license", r"(?:gnu )?general public license (?:version |v)2(?: 0)?"),
-    ("gpl-3.0", "general public license", r"(?:gnu )?general public license (?:version |v)3(?: 0)?"),
-    ("gpl-1.0", "gpl", r"gpl ?(?:version |v)?1(?: 0)?"),
-    ("gpl-2.0", "gpl", r"gpl ?(?:version |v)?2(?: 0)?"),
-    ("gpl-3.0", "gpl", r"gpl ?(?:version |v)?3(?: 0)?"),
+    ("gpl-1.0", "general public license", r"(?:gnu )?general public license (?:version |v ?)1(?: 0)?"),
+    ("gpl-2.0", "general public license", r"(?:gnu )?general public license (?:version |v ?)2(?: 0)?"),
+    ("gpl-3.0", "general public license", r"(?:gnu )?general public license (?:version |v ?)3(?: 0)?"),
+    ("gpl-1.0", "gpl", r"gpl ?(?:version |v ?)?1(?: 0)?"),
+    ("gpl-2.0", "gpl", r"gpl ?(?:version |v ?)?2(?: 0)?"),
+    ("gpl-3.0", "gpl", r"gpl ?(?:version |v ?)?3(?: 0)?"),
     ("lgpl-2.0", "library general public license", r"(?:gnu )?library general public license"),
-    ("lgpl-2.1", "lesser general public license", r"(?:gnu )?lesser general public license (?:version |v)2(?: 1)?"),
-    ("lgpl-3.0", "lesser general public license", r"(?:gnu )?lesser general public license (?:version |v)3(?: 0)?"),
+    ("lgpl-2.1", "lesser general public license", r"(?:gnu )?lesser general public license (?:version |v ?)2(?: 1)?"),
+    ("lgpl-3.0", "lesser general public license", r"(?:gnu )?lesser general public license (?:version |v ?)3(?: 0)?"),
     ("lgpl", "lesser general public license", r"(?:gnu )?lesser general public license"),
-    ("lgpl-2.1", "lgpl", r"lgpl ?(?:version |v)?2(?: 1)?"),
-    ("lgpl-3.0", "lgpl", r"lgpl ?(?:version |v)?3(?: 0)?"),
-    ("agpl-3.0", "affero", r"(?:gnu )?affero general public license(?: (?:version |v)3(?: 0)?)?"),
-    ("agpl-3.0", "agpl", r"agpl ?(?:version |v)?3(?: 0)?"),
-    ("gfdl-1.1", "free documentation license", r"(?:gnu )?free documentation license (?:version |v)?1 1"),
-    ("gfdl-1.2", "free documentation license", r"(?:gnu )?free documentation license (?:version |v)?1 2"),
-    ("gfdl-1.3", "free documentation license", r"(?:gnu )?free documentation license (?:version |v)?1 3"),
+    ("lgpl-2.1", "lgpl", r"lgpl ?(?:version |v ?)?2(?: 1)?"),
+    ("lgpl-3.0", "lgpl", r"lgpl ?(?:version |v ?)?3(?: 0)?"),
+    ("agpl-3.0", "affero", r"(?:gnu )?affero general public license(?: (?:version |v ?)3(?: 0)?)?"),
+    ("agpl-3.0", "agpl", r"agpl ?(?:version |v ?)?3(?: 0)?"),
+    ("gfdl-1.1", "free documentation license", r"(?:gnu )?free documentation license (?:version |v ?)?1 1"),
+    ("gfdl-1.2", "free documentation license", r"(?:gnu )?free documentation license (?:version |v ?)?1 2"),
+    ("gfdl-1.3", "free documentation license", r"(?:gnu )?free documentation license (?:version |v ?)?1 3"),
     ("gfdl", "free documentation license", r"(?:gnu )?free documentation license"),
-    ("mpl-1.0", "mozilla public license", r"mozilla public license (?:version |v)?1 0"),
-    ("mpl-1.1", "mozilla public license", r"mozilla public license (?:version |v)?1 1"),
-    ("mpl-2.0", "mozilla public license", r"mozilla public license (?:version |v)?2(?: 0)?"),
+    ("mpl-1.0", "mozilla public license", r"mozilla public license (?:version |v ?)?1 0"),
+    ("mpl-1.1", "mozilla public license", r"mozilla public license (?:version |v ?)?1 1"),
+    ("mpl-2.0", "mozilla public license", r"mozilla public license (?:version |v ?)?2(?: 0)?"),
     ("mpl", "mozilla public license", r"mozilla public license"),
     ("mpl-2.0", "mpl", r"mpl ?2(?: 0)?"),
-    ("epl-1.0", "eclipse public license", r"eclipse public license (?:version |v)?1(?: 0)?"),
-    ("epl-2.0", "eclipse public license", r"eclipse public license (?:version |v)?2(?: 0)?"),
+    ("epl-1.0", "eclipse public license", r"eclipse public license (?:version |v ?)?1(?: 0)?"),
+    ("epl-2.0", "eclipse public license", r"eclipse public license (?:version |v ?)?2(?: 0)?"),
     ("epl", "eclipse", r"eclipse (?:public|distribution) license"),
-    ("cddl-1.0", "common development and distribution", r"common development and distribution license(?: (?:version |v)?1 0)?"),
-    ("cddl-1.1", "common development and distribution", r"common development and distribution license (?:version |v)?1 1"),
-    ("cpl-1.0", "common public license", r"common public license(?: (?:version |v)?1 0)?"),
+    ("cddl-1.0", "common development and distribution", r"common development and distribution license(?: (?:version |v ?)?1 0)?"),
+    ("cddl-1.1", "common development and distribution", r"common development and distribution license (?:version |v ?)?1 1"),
+    ("cpl-1.0", "common public license", r"common public license(?: (?:version |v ?)?1 0)?"),
     ("ipl-1.0", "ibm public license", r"ibm public license"),
-    ("eupl-1.1", "european union public", r"european union public licence (?:version |v)?1 1"),
-    ("eupl-1.2", "european union public", r"european union public licence (?:version |v)?1 2"),
+    ("eupl-1.1", "european union public", r"european union public licence (?:version |v ?)?1 1"),
+    ("eupl-1.2", "european union public", r"european union public licence (?:version |v ?)?1 2"),
     ("eupl", "european union public", r"european union public licen[cs]e"),
-    ("artistic-1.0", "artistic", r"artistic license (?:version |v)?1(?: 0)?"),
-    ("artistic-2.0", "artistic", r"artistic license (?:version |v)?2(?: 0)?"),
+    ("artistic-1.0", "artistic", r"artistic license (?:version |v ?)?1(?: 0)?"),
+    ("artistic-2.0", "artistic", r"artistic license (?:version |v ?)?2(?: 0)?"),
     ("artistic", "artistic", r"artistic license"),
     ("perl", "perl", r"same terms as perl(?: itself)?"),
-    ("python-2.0", "python", r"python (?:software foundation )?license(?: (?:version |v)?2(?: 0)?)?"),
-    ("php-3.01", "php", r"php license(?: (?:version |v)?3 01)?"),
+    ("python-2.0", "python", r"python (?:software foundation )?license(?: (?:version |v ?)?2(?: 0)?)?"),
+    ("php-3.01", "php", r"php license(?: (?:version |v ?)?3 01)?"),
     ("ruby", "ruby", r"ruby license"),
     ("zlib", "zlib", r"zlib(?: libpng)? license"),
     ("libpng", "libpng", r"libpng license"),
@@ -88,27 +88,27 @@ NAMES = (
     ("ssleay", "ssleay", r"(?:original )?ssleay license"),
     ("curl", "curl", r"curl license"),
     ("isc", "isc", r"isc license"),
-    ("boost-1.0", "boost", r"boost software license(?: (?:version |v)?1 0)?"),
+    ("boost-1.0", "boost", r"boost software license(?: (?:version |v ?)?1 0)?"),
     ("unlicense", "unlicense", r"(?:the )?unlicense"),
     ("wtfpl", "what the", r"do what the fuck you want to public license"),
     ("wtfpl", "wtfpl", r"wtfpl"),
     ("beerware", "beer", r"beer ?ware license"),
     ("postgresql", "postgresql", r"postgresql licen[cs]e"),
-    ("ofl-1.1", "open font license", r"(?:sil )?open font license(?: (?:version |v)?1 1)?"),
-    ("odbl-1.0", "open database license", r"open database license(?: (?:version |v)?1 0)?"),
+    ("ofl-1.1", "open font license", r"(?:sil )?open font license(?: (?:version |v ?)?1 1)?"),
+    ("odbl-1.0", "open database license", r"open database license(?: (?:version |v ?)?1 0)?"),
     ("odc-by-1.0", "open data commons", r"open data commons attribution license"),
     ("pddl-1.0", "public domain dedication", r"(?:odc )?public domain dedication and licen[cs]e"),
-    ("osl-3.0", "open software license", r"open software license(?: (?:version |v)?3(?: 0)?)?"),
-    ("afl-3.0", "academic free license", r"academic free license(?: (?:version |v)?3(?: 0)?)?"),
+    ("osl-3.0", "open software license", r"open software license(?: (?:version |v ?)?3(?: 0)?)?"),
+    ("afl-3.0", "academic free license", r"academic free license(?: (?:version |v ?)?3(?: 0)?)?"),
     ("ms-pl", "microsoft public license", r"microsoft public license"),
     ("ms-rl", "microsoft reciprocal license", r"microsoft reciprocal license"),
-    ("sspl-1.0", "server side public license", r"server side public license(?: (?:version |v)?1)?"),
-    ("bsl-1.1", "business source license", r"business source license(?: (?:version |v)?1 1)?"),
-    ("elastic-2.0", "elastic", r"elastic license(?: (?:version |v)?2(?: 0)?)?"),
+    ("sspl-1.0", "server side public license", r"server side public license(?: (?:version |v ?)?1)?"),
+    ("bsl-1.1", "business source license", r"business source license(?: (?:version |v ?)?1 1)?"),
+    ("elastic-2.0", "elastic", r"elastic license(?: (?:version |v ?)?2(?: 0)?)?"),
     ("commons-clause", "commons clause", r"commons clause(?: license condition)?"),
     ("ncsa", "ncsa", r"(?:university of illinois )?ncsa open source license"),
     ("w3c", "w3c", r"w3c software (?:notice and )?license"),
-    ("upl-1.0", "universal permissive license", r"universal permissive license(?: (?:version |v)?1(?: 0)?)?"),
+    ("upl-1.0", "universal permissive license", r"universal permissive license(?: (?:version |v ?)?1(?: 0)?)?"),
     ("vim", "vim", r"vim license"),
     ("json", "json", r"json license"),
     ("icu", "icu", r"icu license"),
@@ -193,6 +193,37 @@ CLAUSES = (
     ("boost-1.0", "boost", r"distributed under the boost software license"),
     ("mpl-2.0", "source code form", r"this source code form is subject to the terms of the mozilla public license"),
     ("cc0-1.0", "waived all copyright", r"waived all copyright and related or neighboring rights"),
+    ("mit", "substantial portions", r"this permission notice shall be included in all copies or substantial portions of the software"),
+    ("ofl-1.1", "font software", r"permission is hereby granted free of charge to any person obtaining a copy of the font software"),
+    ("boost-1.0", "accompanying documentation", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("bsd", "redistributions of source code", r"redistributions of source code must retain the above copyright notice"),
+    ("zlib", "held liable", r"in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("apache-2.0", "derivative works of", r"irrevocable copyright license to reproduce prepare derivative works of"),
+    ("gpl-2.0", "take away your freedom", r"the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl-3.0", "copyleft license", r"the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("agpl-3.0", "network server software", r"specifically designed to ensure cooperation with the community in the case of network server software"),
+    ("lgpl", "this library is free software", r"this library is free software you can redistribute it and or modify"),
+    ("lgpl-2.0", "library general public license", r"this license the library general public license applies to some specially designated free software foundation software"),
+    ("lgpl-2.1", "lesser general public license", r"this license the lesser general public license applies to some specially designated software packages"),
+    ("lgpl-3.0", "lesser general public license", r"this version of the gnu lesser general public license incorporates the terms and conditions of version 3"),
+    ("gfdl", "functional and useful document", r"make a manual textbook or other (?:functional and useful|written) document free in the sense of freedom"),
+    ("mpl-1.1", "covered code", r"covered code means the original code or modifications"),
+    ("mpl-2.0", "incompatible with secondary licenses", r"incompatible with secondary licenses as defined by the mozilla public license"),
+    ("epl", "accompanying program", r"the accompanying program is provided under the terms of this eclipse public license"),
+    ("epl-2.0", "secondary licenses", r"may also be made available under the following secondary licenses when the conditions for such availability set forth in the eclipse public license v(?:ersion)? 2 0"),
+    ("cpl-1.0", "accompanying program", r"the accompanying program is provided under the terms of this common public license"),
+    ("cddl", "original software", r"first makes original software available under this license"),
+    ("artistic-1.0", "artistic control", r"the copyright holder maintains some semblance of artistic control over the development of the package"),
+    ("artistic-2.0", "given free software package", r"this license establishes the terms under which a given free software package may be copied"),
+    ("eupl", "european union public licence", r"this european union public licence the eupl applies to the work"),
+    ("cc", "creative commons public license", r"provided under the terms of this creative commons public license"),
+    ("cc-by-4.0", "creative commons", r"conditions of this creative commons attribution 4 0 international public license"),
+    ("cc-by-sa-4.0", "creative commons", r"conditions of this creative commons attribution sharealike 4 0 international public license"),
+    ("cc-by-nc-4.0", "creative commons", r"conditions of this creative commons attribution noncommercial 4 0 international public license"),
+    ("cc-by-nd-4.0", "creative commons", r"conditions of this creative commons attribution noderivatives 4 0 international public license"),
+    ("cc-by-nc-sa-4.0", "creative commons", r"conditions of this creative commons attribution noncommercial sharealike 4 0 international public license"),
+    ("cc-by-nc-nd-4.0", "creative commons", r"conditions of this creative commons attribution noncommercial noderivatives 4 0 international public license"),
+    ("wtfpl", "you just do what", r"you just do what the fuck you want to"),
     ("warranty-disclaimer", "as is", r"provided as is without (?:any )?warranty(?: of any kind)?"),
     ("proprietary", "confidential", r"proprietary and confidential"),
     ("proprietary", "unauthorized", r"unauthorized (?:copying|reproduction|use|distribution)(?: or \S+)? of this"),

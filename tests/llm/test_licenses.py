@@ -83,3 +83,61 @@ def test_empty_and_clashing(spark):
         {c: F.lit(1) for c in ("n_words", "detections", "labels")})
     assert licenses.digest(licenses.scan(docs)).first().n_base == 1
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+BODIES = {
+    "Eclipse Public License - v 2.0": "epl-2.0",
+    "Eclipse Public License - v 1.0": "epl-1.0",
+    "THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE "
+    "(\"AGREEMENT\").": "epl",
+    "GNU LESSER GENERAL PUBLIC LICENSE, v. 2.1": "gpl,lgpl-2.1",
+    "This library is free software; you can redistribute it and/or modify it": "lgpl",
+    "each Contributor that first makes Original Software available under this License.": "cddl",
+    "such that the Copyright Holder maintains some semblance of artistic control over the "
+    "development of the package": "artistic-1.0",
+    "This license establishes the terms under which a given free software Package may be copied":
+        "artistic-2.0",
+    "THE WORK IS PROVIDED UNDER THE TERMS OF THIS CREATIVE COMMONS PUBLIC LICENSE": "cc",
+    "conditions of this Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International "
+    "Public License": "cc-by-nc-sa-4.0",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of the Font "
+    "Software": "ofl-1.1",
+}
+
+
+def test_license_bodies(spark):
+    rows = list(enumerate(BODIES))
+    got = {r.doc_id: r.labels for r in
+           licenses.digest(licenses.scan(documents(spark, rows))).collect()}
+    assert got == {i: BODIES[t] for i, t in rows}
+
+
+def plain_scan(text):
+    """Labels and score without gates or indexes: every rule, every pair of detections."""
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    norm = " " + " ".join(words) + " "
+    found = set()
+    for priority, label, _, rx in licenses.rules():
+        for m in re.compile(rx.pattern.decode()).finditer(norm):
+            found.add((priority, *m.span(rx.groups), label))
+    found = sorted(found, key=lambda d: (d[0], d[1] - d[2], d[1], d[3]))
+    kept = []
+    for d in found:
+        if d[0] == 0 or not any(k[0] and k[1] <= d[1] and d[2] <= k[2] for k in kept):
+            kept.append(d)
+    covered = set()
+    for _, s, e, _ in kept:
+        first = norm[:s].count(" ") - 1
+        covered |= set(range(first, first + norm[s:e].count(" ") + 1))
+    return (",".join(sorted({d[3] for d in kept})), len(covered) / len(words) if words else 0.0)
+
+
+def test_labels_and_score_as_plain(spark):
+    notices = [n for t in TEXTS + list(BODIES) if t and len(t) < 500 for n in (t, t.upper())]
+    mixed = [" ".join(notices[(i * 7 + k * k) % len(notices)] for k in range(5)) for i in range(40)]
+    rows = list(enumerate(notices + mixed + ["", "no license here"]))
+    got = {r.doc_id: (r.labels, r.score) for r in
+           licenses.digest(licenses.scan(documents(spark, rows))).collect()}
+    for i, t in rows:
+        labels, score = plain_scan(t)
+        assert got[i][0] == labels and abs(got[i][1] - score) < 1e-12, t
