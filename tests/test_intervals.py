@@ -59,6 +59,25 @@ def test_long_intervals_have_few_copies(spark):
     assert all(r["count"] <= levels * (intervals._FAN + 1) for r in copies)
 
 
+def test_usual_intervals_are_listed_once_or_twice(spark, monkeypatch):
+    """What is shuffled: few copies of a row, each with two numbers beside it."""
+    binned, seen = intervals._binned, []
+
+    def spy(df, *args):
+        out = binned(df, *args)
+        seen.append((out.count() / df.count(), len(out.columns) - len(df.columns) + 2))
+        return out
+    monkeypatch.setattr(intervals, "_binned", spy)
+    rng = random.Random(5)
+    a = [(i, "a", day(s), day(s + rng.randrange(1, 51))) for i in range(400) for s in [rng.randrange(900)]]
+    b = [(i, "a", day(s), day(s + (1095 if i % 100 == 0 else 30))) for i in range(200)
+         for s in [rng.randrange(900)]]
+    got = join(spark, a, b)
+    assert sorted((r.i, r.j) for r in got.collect()) == sorted(
+        (i, j) for i, _, s, e in a for j, _, f, t in b if s <= t and f <= e)
+    assert all(copies < 2 and columns == 2 for copies, columns in seen) and len(seen) == 2
+
+
 def test_interval_corner_cases(spark):
     a = [(1, "a", day(1), day(1))]
     assert join(spark, a, [(1, "a", day(1), day(1))]).count() == 1
