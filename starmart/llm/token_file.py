@@ -34,7 +34,9 @@ import struct
 import sys
 import zlib
 from array import array
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +49,7 @@ from starmart.llm._util import cut, slices
 #: Ids of a shard (8 MB at two bytes an id) and set bits between two kept places.
 SHARD_IDS = 1 << 22
 SELECT = 256
-#: Different words whose ids a worker remembers.
+#: Different words whose ids a worker remembers from batch to batch.
 CACHE_WORDS = 1 << 19
 
 _HEAD = struct.Struct("<8s4B3I2Qq")
@@ -193,6 +195,10 @@ _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 #: ASCII and Latin-1 letters (UTF-8), then ASCII marks.
 _PLAIN = re.compile(rb"((?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+)([!-/:-@\[-`{-~]*)")
+#: A full stop or comma between such a letter and white space or the end: the
+#: pre-tokenizer cuts it off, and a word is remembered once, not once with each.
+_CLOSING = re.compile(rb"[,.](?:(?<=[A-Za-z].)|(?<=\xC3[\x80-\x96\x98-\xB6\xB8-\xBF].))"
+                      rb"(?![^\x20\x09-\x0D])")
 
 
 class _Encoder:
@@ -202,8 +208,8 @@ class _Encoder:
     punctuation gives a word the same ids wherever it stands.  For such files
     the ids of words are remembered, and a word of Latin letters (which its
     normalizers only fold) goes straight to the library's BPE model; all others
-    pass the library as a whole.  When the memory is full, the words of the
-    batch at hand stay.
+    pass the library as a whole.  When the memory is full, those of the batch at
+    hand stay.
     """
 
     def __init__(self, path: str):
@@ -237,56 +243,45 @@ class _Encoder:
         return [self.as_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(
             [t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
 
-    def _learn(self, words: set[bytes]) -> None:
-        known, model, plain, whole = self._known, self.tokenizer.model, [], set()
+    def _learn(self, words: Iterable[bytes]) -> None:
+        known, tokenize, as_bytes = self._known, self.tokenizer.model.tokenize, self.as_bytes
+        whole, marked = [], []
         for word in words:
             if word.isalpha():  # ASCII
-                plain.append((word, word.lower().decode(), b""))
+                known[word] = as_bytes([t.id for t in tokenize(word.lower().decode())])
                 continue
             m = _PLAIN.fullmatch(word)
             if m is None or m[2][:1] == b"'":
-                whole.add(word)
+                whole.append(word)
+            elif m[2]:
+                marked.append((word, m[1], m[2]))
+                if m[2] not in known:
+                    whole.append(m[2])
             else:
-                plain.append((word, m[1].decode().lower(), m[2]))
-                if m[2] and m[2] not in known:
-                    whole.add(m[2])
-        known.update(zip(whole, self._whole(list(whole))))
-        letters: dict[str, bytes] = {}
-        for word, low, mark in plain:
-            ids = letters.get(low)
-            if ids is None:
-                as_read = low if low.isascii() else low.translate(self._level)
-                ids = letters[low] = self.as_bytes([t.id for t in model.tokenize(as_read)])
-            known[word] = ids + known[mark] if mark else ids
+                low = word.decode().lower().translate(self._level)
+                known[word] = as_bytes([t.id for t in tokenize(low)])
+        if whole:
+            known.update(zip(whole, self._whole(whole)))
+        if marked:
+            self._learn({letters for _, letters, _ in marked if letters not in known})
+            known.update((word, known[letters] + known[mark]) for word, letters, mark in marked)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian bytes."""
         if not self.by_word:
             return self._whole(texts)
-        # Split at ASCII white space.  Folding A-Z first changes nothing but where a
-        # mark could join a letter, or a special token be spelled.
-        words = [(t if b"\xCC" in t or b"\xCD" in t or b"<|" in t else t.lower()).split()
-                 for t in texts]
-        found = [list(map(self._known.get, ws)) for ws in words]
-        gaps = [(k, i) for k, ids in enumerate(found) for i in _nones(ids)]
-        new = {words[k][i] for k, i in gaps}
-        if len(self._known) + len(new) > CACHE_WORDS:
-            self._known = {w: ids for ws, found_ in zip(words, found)
-                           for w, ids in zip(ws, found_) if ids is not None}
-        self._learn(new)
-        for k, i in gaps:
-            found[k][i] = self._known[words[k][i]]
-        return [b"".join(ids) for ids in found]
-
-
-def _nones(values: list) -> list[int]:
-    """Places of None."""
-    out, i = [], -1
-    try:
-        while True:
-            i = values.index(None, i + 1)
-            out.append(i)
-    except ValueError:
+        # Split at ASCII white space and before a closing mark.  Folding A-Z first changes
+        # nothing but where a mark could join a letter, or a special token be spelled.
+        words = [_CLOSING.sub(rb" \g<0>", t if b"\xCC" in t or b"\xCD" in t or b"<|" in t
+                              else t.lower()).split() for t in texts]
+        if len(self._known) > CACHE_WORDS:
+            self._known = {w: self._known[w] for ws in words for w in ws if w in self._known}
+        out, has, get = [], self._known.__contains__, self._known.__getitem__
+        for ws in words:
+            new = set(filterfalse(has, ws))
+            if new:
+                self._learn(new)
+            out.append(b"".join(map(get, ws)))
         return out
 
 

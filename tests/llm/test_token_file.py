@@ -121,3 +121,13 @@ def test_query_holds_every_document(spark):
         expected.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert [tuple(r)[:4] for r in got] == expected
+
+
+def test_a_closing_mark_makes_no_other_word():
+    texts = ["one, two. one two, one. two", "é. É, é. e,́ ×. x÷, don't. 's, a.b c., d., (e.) ,. f .g",
+             "Ü, Ü, Σ. ς, <|endoftext|>. x<|y, 1. 2, z.\n\ny,\x85", "...", ",", "a."]
+    encoder = T._Encoder(WORDS)
+    got = encoder.encode([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == plain(WORDS, texts)
+    assert {b"one", b"two", b",", b"."} <= set(encoder._known)
+    assert not {b"one,", b"two.", b"two,", b"one."} & set(encoder._known)
