@@ -70,7 +70,7 @@ def _binned(df: DataFrame, base: int, levels: int, side: str) -> DataFrame:
 
 def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
                   left_interval: tuple[str, str], right_interval: tuple[str, str],
-                  base_seconds: int = 86_400) -> DataFrame:
+                  base_seconds: int = 86_400, left_lengths: DataFrame | None = None) -> DataFrame:
     """Rows of ``left`` with rows of ``right`` of equal keys (``on``: pairs of a left
     and a right column) and overlapping closed intervals (start and end columns,
     dates or timestamps): one row per pair, with the columns of both sides.
@@ -78,7 +78,9 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     Intervals that share an end overlap.  Null keys and ends, and intervals that end
     before they start, meet nothing.  Equal rows are rows of their own.  The sides must
     not share column names.  The finest bin is at least ``base_seconds`` wide; results do
-    not depend on it.
+    not depend on it.  Bins are chosen by the lengths of the sides' intervals; where the
+    left side is costly, ``left_lengths`` names a table that holds its intervals, others
+    too, and is read for them instead.  Results do not depend on it either.
     """
     clash = sorted(set(left.columns) & set(right.columns))
     if clash:
@@ -93,7 +95,8 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
         return df
     a = prepared(left, left_interval, [k for k, _ in on])
     b = prepared(right, right_interval, [k for _, k in on])
-    (long_a, usual_a), (long_b, usual_b) = _spans(a), _spans(b)
+    measured = a if left_lengths is None else prepared(left_lengths, left_interval, [])
+    (long_a, usual_a), (long_b, usual_b) = _spans(measured), _spans(b)
     # Half of a side's rows are about as long as a bin or longer, so rows that share a
     # bin without overlapping are no more than some times those that overlap.
     base = max(base_seconds, 2 * max(usual_a, usual_b))

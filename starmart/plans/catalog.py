@@ -408,20 +408,21 @@ def stream_weekly_upsert(spark, d):
 def join_interval_transit(spark, d):
     """Line items in transit (a day per unit after shipping) while an order of the same
     customer was open (30 days; every 500th for three years)."""
+    # Both joins are of two tables that grow alike: sorted and merged at every size.
     orders = B._read(spark, d, "orders")
-    lines = B._read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate",
-                                                 "l_quantity")
-    owners = orders.select(F.col("o_orderkey").alias("_order"), F.col("o_custkey").alias("owner"))
     ship = F.to_date("l_shipdate")
-    transit = lines.join(owners, F.col("l_orderkey") == F.col("_order")).select(
-        "l_orderkey", "l_linenumber", "owner", ship.alias("shipped"),
+    lines = B._read(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", ship.alias("shipped"),
         F.date_add(ship, F.col("l_quantity").cast("int")).alias("arrived"))
+    owners = orders.select(F.col("o_orderkey").alias("_order"), F.col("o_custkey").alias("owner"))
+    transit = lines.join(owners.hint("merge"), F.col("l_orderkey") == F.col("_order")).select(
+        "l_orderkey", "l_linenumber", "owner", "shipped", "arrived")
     day = F.to_date("o_orderdate")
     held = F.when(F.col("o_orderkey") % 500 == 0, 1095).otherwise(30)
     open_ = orders.select("o_orderkey", "o_custkey", day.alias("opened"),
                           F.date_add(day, held).alias("closed"))
-    met = interval_join(transit, open_, [("owner", "o_custkey")], ("shipped", "arrived"),
-                        ("opened", "closed"))
+    met = interval_join(transit, open_.hint("merge"), [("owner", "o_custkey")],
+                        ("shipped", "arrived"), ("opened", "closed"), left_lengths=lines)
     return met.select("l_orderkey", "l_linenumber", "o_orderkey", "o_custkey", "shipped", "arrived",
                       "opened", "closed")
 

@@ -130,3 +130,38 @@ def test_weighted_rows_stand_for_many(spark):
     dim = spark.createDataFrame([(1,)], "k int")
     r = referential_checks(fact, {"c": ("k", dim, "k")}, weight="n").first()
     assert (r.orphans, r.null_keys, r.passed) == (7, 2, False)
+
+
+def test_transit_reads_lengths_before_its_join_and_merges(spark, tmp_path, monkeypatch):
+    """One plan at every size: nothing is broadcast, and bins are chosen without the join."""
+    from starmart.plans.catalog import join_interval_transit
+    rng = random.Random(6)
+    at = lambda n: dt.datetime(2016, 1, 1) + dt.timedelta(n)
+    orders = [(500 + i, rng.randrange(5), at(rng.randrange(200))) for i in range(60)]
+    lines = [(rng.randrange(495, 570), n, at(rng.randrange(200)), float(rng.randrange(1, 51)))
+             for n in range(150)] + [(None, 1, at(3), 4.0), (501, 2, None, 4.0), (502, 2, at(3), None)]
+    spark.createDataFrame(orders + [(None, 1, at(3)), (700, None, at(3)), (701, 2, None), orders[0]],
+                          "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_shipdate timestamp, "
+                          "l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spans, plans = intervals._spans, []
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return spans(df)
+    monkeypatch.setattr(intervals, "_spans", spy)
+    met = join_interval_transit(spark, str(tmp_path))
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
+    every = orders + [orders[0]]
+    want = sorted((k, n, o) for k, n, s, x in lines if k and s and x for key, owner, _ in every
+                  if key == k for o, c, d in every if c == owner and s <= d + dt.timedelta(
+                      1095 if o % 500 == 0 else 30) and d <= s + dt.timedelta(x))
+    # An order without a key is a partner like any other, open for 30 days.
+    none = sorted((k, n) for k, n, s, x in lines if k and s and x for key, owner, _ in every
+                  if key == k and owner == 1 and s <= at(33) and at(3) <= s + dt.timedelta(x))
+    got = met.collect()
+    assert sorted(tuple(r)[:3] for r in got if r.o_orderkey is not None) == want
+    assert sorted(tuple(r)[:2] for r in got if r.o_orderkey is None) == none
