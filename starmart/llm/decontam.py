@@ -12,10 +12,10 @@ Items and documents are cut into windows of ``window`` template tokens (half the
 item, if it has under twice as many), a window without any plain word into raw
 tokens.  One scan of the documents keeps the stretches around windows that pass
 a filter of the benchmark's hashes, each distinct stretch once; their windows are
-hash-joined in Spark with those windows that at most ``max_items`` different
-templates hold, so a preamble that many items share joins nothing.  An item
-without such a window is joined by its first half or more and must stand there
-nearly whole.
+hash-joined in Spark with all windows of all items.  A window that more than
+``max_items`` different templates hold identifies no item, so a preamble that many
+items share is no match.  It joins like any other, only in the first place of a
+run of such windows, and its items are found where they stand nearly whole.
 
 A joined window is extended to both sides over added, dropped and replaced
 tokens, up to GAP at a place, wherever JOIN equal tokens (or the item's end)
@@ -23,8 +23,8 @@ follow; equal tokens are counted over the whole alignment.  The slots must be
 consistent: each value of the benchmark's slots maps to one value of the document
 and back ("5 ... 5" may become "7 ... 7", not "7 ... 8").  A match covers
 ``min_cover`` tokens, or the whole item if that is shorter, where one token in
-eight may be missing as long as no slot contradicts; it holds a joined window; and
-it holds MIN_LITERALS plain words, or the item's own values in its slots.  An item
+eight may be missing as long as no slot contradicts; it holds a window that identifies
+the item, or any of its windows and nearly the whole item; and it holds MIN_LITERALS plain words, or the item's own values in its slots.  An item
 of fewer than MIN_LITERALS tokens matches documents that are that item and nothing
 else, as its words identify nothing inside a text.
 """
@@ -226,8 +226,9 @@ def _vocabulary(items: DataFrame) -> _Ids:
 
 
 def _item_windows(items: DataFrame, ids, window: int) -> DataFrame:
-    """Every different window of every item with its first place; ``level`` 1 marks
-    the one that an item without an identifying window is joined by."""
+    """Every different window of every item with its first place and, if that is a first
+    place too, the window ``before`` it.  An item of under MIN_LITERALS tokens has
+    itself (``kind`` 0)."""
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         for iid, text in zip(b.column("iid").to_pylist(), b.column("text").to_pylist()):
@@ -237,30 +238,27 @@ def _item_windows(items: DataFrame, ids, window: int) -> DataFrame:
                 continue
             if n < MIN_LITERALS:
                 h = np.array([_whole(tokens)], np.uint64).view(np.int64)
-                rows.append((iid, 0, int(h[0]), 0, n, 1))
+                rows.append((iid, 0, int(h[0]), 0, n, None))
                 continue
             t = _templates(tokens, ids.value)
             kind = int.from_bytes(hashlib.blake2b(t.tobytes(), digest_size=8).digest(),
                                   "little", signed=True)
             w = _width(n, window)
-            wide = n if n < 8 else 1 << (n.bit_length() - 1)
-            for width, h in _windows(tokens, t, {w, wide}):
-                if width == w:
-                    values, first = np.unique(h.view(np.int64), return_index=True)
-                    rows += [(iid, kind, v, q, w, 0)
-                             for v, q in zip(values.tolist(), first.tolist())]
-                if width == wide:
-                    rows.append((iid, kind, int(h.view(np.int64)[0]), 0, wide, 1))
+            for _, h in _windows(tokens, t, [w]):
+                values, first = np.unique(h.view(np.int64), return_index=True)
+                at = dict(zip(first.tolist(), values.tolist()))
+                rows += [(iid, kind, v, q, w, at.get(q - 1)) for q, v in at.items()]
         cols = list(zip(*rows)) if rows else [()] * 6
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                          names=["iid", "kind", "h", "q", "w", "level"])
+                                          names=["iid", "kind", "h", "q", "w", "before"])
     return map_texts(items.select("iid", "text"), run,
-                     "iid long, kind long, h long, q long, w long, level long", "text")
+                     "iid long, kind long, h long, q long, w long, before long", "text")
 
 
 def _stretches(texts: DataFrame, ids, table, widths: list[int]) -> DataFrame:
-    """(key, first, fid, tokens, h, p): the stretches of each text around windows that
-    pass the filter; ``fid`` is the same for equal stretches."""
+    """(key, first, fid, tokens, h, p, before): the stretches of each text around windows
+    that pass the filter, with the window before each (0 at a text's start); ``fid`` is
+    the same for equal stretches."""
     def of(texts: list[str]) -> list[tuple]:
         tokens, bounds = [], [0]
         for text in texts:
@@ -275,13 +273,16 @@ def _stretches(texts: DataFrame, ids, table, widths: list[int]) -> DataFrame:
         for width, h in _windows(tokens, t, widths):
             at = _passes(h, table.value)
             at = at[doc[at] == doc[at + width - 1]]
-            for p, d, v in zip(at.tolist(), doc[at].tolist(), h[at].view(np.int64).tolist()):
-                found[d].append((p - bounds[d], v))
+            v = h.view(np.int64)
+            # The window in front of a text's first one is another text's, or partly.
+            before = np.where((at > 0) & (doc[at - 1] == doc[at]), v[at - 1], 0)
+            for p, d, x, y in zip(at.tolist(), doc[at].tolist(), v[at].tolist(), before.tolist()):
+                found[d].append((p - bounds[d], x, y))
         for d, text in enumerate(texts):
             if bounds[d + 1] - bounds[d] in _SHORT:
                 h = np.array([_whole(tokens[bounds[d]:bounds[d + 1]])], np.uint64)
                 if len(_passes(h, table.value)):
-                    found[d].append((0, int(h.view(np.int64)[0])))
+                    found[d].append((0, int(h.view(np.int64)[0]), 0))
         rows = []
         for d, hits in sorted(found.items()):
             hits.sort()
@@ -294,13 +295,14 @@ def _stretches(texts: DataFrame, ids, table, widths: list[int]) -> DataFrame:
                 first = max(0, hits[i][0] - CONTEXT)
                 held = mine[first:hits[j][0] + max(widths, default=1) + CONTEXT]
                 rows.append((key, first, hashlib.md5(" ".join(held).encode("utf-8", "replace"))
-                             .hexdigest(), held, [v for _, v in hits[i:j + 1]],
-                             [p - first for p, _ in hits[i:j + 1]]))
+                             .hexdigest(), held, [x[1] for x in hits[i:j + 1]],
+                             [x[0] - first for x in hits[i:j + 1]],
+                             [x[2] for x in hits[i:j + 1]]))
                 i = j + 1
         return rows
 
-    types = [pa.string(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()),
-             pa.list_(pa.int64())]
+    types = [pa.string(), pa.int64(), pa.string(), pa.list_(pa.string()),
+             *[pa.list_(pa.int64())] * 3]
 
     def run(batches):
         for b in slices(batches, "_text", 1 << 20):
@@ -308,9 +310,9 @@ def _stretches(texts: DataFrame, ids, table, widths: list[int]) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, ty) for c, ty in zip(zip(*rows), types)],
-                    names=["key", "first", "fid", "tokens", "h", "p"])
+                    names=["key", "first", "fid", "tokens", "h", "p", "before"])
     return texts.mapInArrow(run, "key string, first long, fid string, tokens array<string>, "
-                                 "h array<long>, p array<long>")
+                                 "h array<long>, p array<long>, before array<long>")
 
 
 def _onward(a: list, b: list, i: int, j: int) -> list[tuple[int, int]]:
@@ -373,9 +375,18 @@ def _consistent(pairs, words, ids, tokens):
     yield begin, len(pairs), MIN_LITERALS
 
 
-def _best(words, ids, tokens, t, seeds, shift, width, level, window, min_cover):
+def _same_window(words, ids, tokens, t, i, j, width) -> bool:
+    """Whether the windows at i and j are equal: as raw tokens, without a plain word."""
+    a = ids[i:i + width]
+    return (len(a) == width and a == t[j:j + width] and (max(a) > _UNIT or all(
+        x.lower() == y.lower() for x, y in zip(words[i:i + width], tokens[j:j + width]))))
+
+
+def _best(words, ids, tokens, t, seeds, starts, shift, width, min_cover):
     """(tokens covered, first token in the stretch) of an item's best match on the
-    diagonal ``shift``, (0, 0) if none; every match holds a seed."""
+    diagonal ``shift``, (0, 0) if none.  ``seeds`` are the places of identifying windows,
+    ``starts`` those where runs of other windows begin; a match without a seed must be
+    nearly the whole item and hold a window."""
     n = len(ids)
     if n < MIN_LITERALS:
         same = [w.lower() for w in words] == [w.lower() for w in tokens]
@@ -383,20 +394,21 @@ def _best(words, ids, tokens, t, seeds, shift, width, level, window, min_cover):
     nearly = n if n < 8 else n - n // 8
     least, whole = min(min_cover, n), min(min_cover, nearly)
     best, done, known = (0, 0), -1, set(seeds)
-    for q in seeds:
+    for q in sorted({*seeds, *starts}):
         if q + width <= done or ids[q:q + width] != t[q + shift:q + shift + width]:
             continue
         pairs = _aligned(ids, t, q, q + shift)
-        starts = [k for k, (i, j) in enumerate(pairs) if i in known and j - i == shift]
-        done = pairs[starts[-1]][0] + width
+        held = [k for k, (i, j) in enumerate(pairs) if j - i == shift
+                and _same_window(words, ids, tokens, t, i, j, width)]
+        marked = [k for k in held if pairs[k][0] in known]
+        done = max(q, pairs[held[-1]][0] if held else q) + width
         for begin, end, need in _consistent(pairs, words, ids, tokens):
             size = end - begin
             limit = whole if size == len(pairs) else least
-            if level:
-                limit = max(limit, nearly)
             if size < limit or size <= best[0]:
                 continue
-            if not any(begin <= k and k + width <= end for k in starts):
+            if not any(begin <= k and k + width <= end
+                       for k in (held if size >= nearly else marked)):
                 continue
             if sum(ids[i] > _UNIT for i, _ in pairs[begin:end]) < min(need, limit):
                 continue
@@ -415,15 +427,12 @@ def _found(texts: DataFrame, benchmark: DataFrame, window: int, min_cover: int,
         "iid", F.xxhash64("item_id", "text")).dropDuplicates(["iid"])
     ids = sc.broadcast(_vocabulary(items))
     windows = cut(_item_windows(items, ids, window))
-    frequent = (windows.where("level = 0").select("h", "kind").distinct().groupBy("h").count()
-                .where(F.col("count") > max_items).select("h"))
-    rare = windows.where("level = 0").join(frequent, "h", "left_anti")
-    seeds = cut(rare.unionByName(windows.where("level = 1").join(
-        rare.select("iid").distinct(), "iid", "left_anti")))
-
-    # A second form of an item's window is looked for only where it is joined by.
-    wanted = windows.where("level = 0").unionByName(seeds.where("level = 1"))
-    n, widths = wanted.agg(F.count("*"), F.collect_set(F.when(
+    frequent = (windows.where("kind != 0").select("h", "kind").distinct().groupBy("h").count()
+                .where(F.col("count") > max_items).select("h", F.lit(True).alias("frequent")))
+    seeds = cut(windows.join(frequent, "h", "left").withColumn(
+        "frequent", F.col("frequent").isNotNull()))
+
+    n, widths = windows.agg(F.count("*"), F.collect_set(F.when(
         F.col("kind") != 0, F.col("w")))).first()
     low, high = FILTER_BITS
     bits = min(high, max(low, (256 * n).bit_length()))
@@ -432,21 +441,24 @@ def _found(texts: DataFrame, benchmark: DataFrame, window: int, min_cover: int,
         h = b.column("h").to_numpy().view(np.uint64)
         return pa.RecordBatch.from_arrays([_signed(np.concatenate(list(_probes(h, bits))))],
                                           names=["at"])
-    table = sc.broadcast(_bit_table(wanted.select("h").mapInArrow(
+    table = sc.broadcast(_bit_table(windows.select("h").mapInArrow(
         lambda batches: (places(b) for b in batches), "at long"), "at", bits))
 
     held = cut(_stretches(texts, ids, table, sorted(widths)))
-    one = held.select("fid", "tokens", "h", "p").dropDuplicates(["fid"])
-    hits = one.select("fid", F.explode(F.arrays_zip("h", "p")).alias("_x")).select(
-        "fid", F.col("_x.h").alias("h"), F.col("_x.p").alias("p"))
-    diagonals = (hits.join(seeds.select("h", "iid", "q", "w", "level"), "h")
-                 .groupBy("fid", "iid", "w", "level", (F.col("p") - F.col("q")).alias("shift"))
-                 .agg(F.sort_array(F.collect_set("q")).alias("seeds")))
+    one = held.select("fid", "tokens", "h", "p", "before").dropDuplicates(["fid"])
+    hits = one.select("fid", F.explode(F.arrays_zip("h", "p", "before")).alias("_x")).select(
+        "fid", "_x.h", "_x.p", F.col("_x.before").alias("_before"))
+    # Of windows in a row that both sides hold, frequent ones join in the first place only.
+    joined = hits.join(seeds.select("h", "iid", "q", "w", "before", "frequent"), "h").where(
+        ~F.col("frequent") | F.col("before").isNull() | (F.col("before") != F.col("_before")))
+    diagonals = (joined.groupBy("fid", "iid", "w", (F.col("p") - F.col("q")).alias("shift"))
+                 .agg(F.collect_set(F.when(~F.col("frequent"), F.col("q"))).alias("seeds"),
+                      F.collect_set(F.when(F.col("frequent"), F.col("q"))).alias("starts")))
     reach = F.greatest(F.col("shift") - CONTEXT, F.lit(0))
     last = F.col("shift") + F.length("text") + CONTEXT  # an item has at most a token a character
     pairs = (diagonals.join(one.select("fid", "tokens"), "fid")
              .join(items.select("iid", "item_id", "text"), "iid")
-             .select("fid", "item_id", "text", "seeds", "w", "level", reach.alias("from"), "shift",
+             .select("fid", "item_id", "text", "seeds", "starts", "w", reach.alias("from"), "shift",
                      F.slice("tokens", (reach + 1).cast("int"),
                              (last - reach).cast("int")).alias("tokens")))
 
@@ -455,8 +467,8 @@ def _found(texts: DataFrame, benchmark: DataFrame, window: int, min_cover: int,
         for r in b.to_pylist():
             words, tokens = _TOKEN.findall(r["text"]), r["tokens"]
             size, first = _best(words, _templates(words, ids.value).tolist(), tokens,
-                                _templates(tokens, ids.value).tolist(), r["seeds"],
-                                r["shift"] - r["from"], r["w"], r["level"], window, min_cover)
+                                _templates(tokens, ids.value).tolist(), r["seeds"], r["starts"],
+                                r["shift"] - r["from"], r["w"], min_cover)
             if size:
                 width = _width(len(words), window)
                 rows.append((r["fid"], r["item_id"], max(1, size - width + 1), size,

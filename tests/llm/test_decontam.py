@@ -127,6 +127,34 @@ def test_shared_preamble(spark):
     assert found(spark, many, [CLEAN, items[7][1]]) == {(1, i) for i in range(30)}
 
 
+def test_items_of_frequent_windows_only(spark):
+    """No window identifies the items, and the changed copy lacks their first tokens."""
+    words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(5)]
+    b = spark.createDataFrame([(k, " ".join(words[:16 + k])) for k in range(15)],
+                              "item_id long, text string")
+    changed = words[:16]
+    changed[3] = "other"
+    texts = [f"{CLEAN} {' '.join(changed)} {CLEAN}", f"{CLEAN} {' '.join(words[:13])} {CLEAN}",
+             f"{CLEAN} {' '.join(changed[:8])} {CLEAN} {' '.join(words[8:16])}"]
+    # 15 tokens are nearly all of 16 and 17; 13 of 16 are not.
+    assert found(spark, b, texts) == {(0, 0), (0, 1)}
+    assert found(spark, b, texts, max_items=100) == {(0, k) for k in range(15)} | {
+        (1, k) for k in range(15)}
+
+
+def test_a_change_in_all_that_identifies_an_item(spark):
+    words = "please read the whole text below with care and then choose the one best answer from the list"
+    items = [(i, f"{words} na{chr(97 + i)} nb{chr(97 + i)} nc{chr(97 + i)}") for i in range(20)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    near = items[7][1].replace("nah", "other")
+    two = near.replace("nbh", "other")
+    texts = [f"{CLEAN} {near} {CLEAN}", f"{CLEAN} {words} {CLEAN}", two, items[3][1],
+             two.replace("nch", "other")]
+    # Two of 21 tokens may be missing, not three.
+    assert found(spark, b, texts) == {(0, 7), (2, 7), (3, 3)}
+    assert found(spark, b.repartition(7), texts) == {(0, 7), (2, 7), (3, 3)}
+
+
 def test_short_items(spark, bench):
     """Under five tokens: the whole document, in any case and punctuation."""
     assert found(spark, bench, ["yes", "Yes!", "yes yes", "oh yes", "", CLEAN]) == {(0, 3), (1, 3)}
